@@ -15,3 +15,43 @@ CONTENT_IDX = f"""(select c.*, case when l.doc_id is not null
 
 SOURCE = """(select cast(substr(source, 4, 10) as integer) as id, source as label
    from (select distinct source from documents) where source <> 'src19')"""
+
+
+def sentences(src: str, id_col: str = "doc_id", text: str = "text") -> str:
+    """Sentence rows (id, sentence, begin, end, result) of ``src`` in DuckDB."""
+    from docweave.operators.segment import ABBREVIATIONS, SENTENCE_BREAK
+    abbr = "|".join(ABBREVIATIONS)
+    return f"""(with m as (
+    select {id_col}, regexp_replace(regexp_replace({text}, '{SENTENCE_BREAK}', '\\1' || chr(1), 'g'),
+        '(^|[^\\p{{L}}])({abbr})\\.(\\s+)' || chr(1), '\\1\\2.\\3', 'g') as marked from {src}),
+  p as (select {id_col}, unnest(string_split(marked, chr(1))) as piece,
+               generate_subscripts(string_split(marked, chr(1)), 1) as pos from m),
+  o as (select {id_col}, pos, regexp_replace(piece, '^\\s+|\\s+$', '', 'g') as result,
+          sum(length(piece)) over (partition by {id_col} order by pos
+              rows between unbounded preceding and current row) - length(piece)
+          + length(regexp_extract(piece, '^\\s*', 0)) as begin from p)
+  select {id_col}, cast(row_number() over (partition by {id_col} order by pos) - 1 as integer) as sentence,
+         cast(begin as integer) as begin, cast(begin + length(result) - 1 as integer) as "end", result
+  from o where result <> '')"""
+
+
+def tokens(src: str, id_col: str = "doc_id", text: str = "text", scope: str = "document",
+           context_chars: str | None = None) -> str:
+    """Token rows (id, sentence, pos, begin, end, result) in DuckDB."""
+    from docweave.operators.segment import WORD_PIECES, context_pieces
+    pat = context_pieces(context_chars) if context_chars else WORD_PIECES
+    if scope == "document":
+        base = f"(select {id_col}, 0 as sentence, 0 as base, {text} as t from {src})"
+    else:
+        base = f"(select {id_col}, sentence, begin as base, result as t from {sentences(src, id_col, text)})"
+    return f"""(with p as (
+    select {id_col}, sentence, base, unnest(regexp_extract_all(t, '{pat}')) as piece,
+           generate_subscripts(regexp_extract_all(t, '{pat}'), 1) as i from {base}),
+  o as (select {id_col}, sentence, i, piece, regexp_matches(piece, '\\S') as tok,
+          base + sum(length(piece)) over (partition by {id_col}, sentence order by i
+              rows between unbounded preceding and current row) - length(piece) as begin from p)
+  select {id_col}, cast(sentence as integer) as sentence,
+         cast(row_number() over (partition by {id_col}, sentence order by i) - 1 as integer) as pos,
+         cast(begin as integer) as begin, cast(begin + length(piece) - 1 as integer) as "end",
+         piece as result
+  from o where tok)"""
