@@ -55,3 +55,83 @@ def tokens(src: str, id_col: str = "doc_id", text: str = "text", scope: str = "d
          cast(begin as integer) as begin, cast(begin + length(piece) - 1 as integer) as "end",
          piece as result
   from o where tok)"""
+
+
+def rule_spans(src: str, id_col: str = "doc_id", text: str = "text") -> str:
+    """Resolved rule hits (id, begin, end, result, entity, priority) in DuckDB."""
+    from docweave.operators.entities import RULES
+    per_rule = " union all ".join(
+        f"select {id_col}, '{name}' as entity, {prio} as priority, "
+        f"regexp_split_to_array({text}, '{pat}') as g, regexp_extract_all({text}, '{pat}') as m from {src}"
+        for prio, (name, pat) in enumerate(RULES))
+    return f"""(with r as ({per_rule}),
+  e as (select {id_col}, entity, priority, unnest(m) as result, unnest(list_slice(g, 1, len(m))) as gap,
+               generate_subscripts(m, 1) as i from r where len(m) > 0),
+  o as (select {id_col}, entity, priority, result,
+          sum(length(gap) + length(result)) over (partition by {id_col}, entity order by i
+              rows between unbounded preceding and current row) - length(result) as begin from e),
+  k as (select *, begin + length(result) - 1 as e_,
+          max(begin + length(result) - 1) over (partition by {id_col} order by begin,
+              begin + length(result) - 1 desc, priority
+              rows between unbounded preceding and 1 preceding) as prev_end from o)
+  select {id_col}, cast(begin as integer) as begin, cast(e_ as integer) as "end", result, entity, priority
+  from k where prev_end is null or prev_end < begin)"""
+
+
+def spans_with_sentences(spans: str, sentences_: str, id_col: str = "doc_id") -> str:
+    return f"""(with u as (
+    select {id_col}, begin, "end", result, entity, priority, 1 as kind, cast(null as integer) as sentence from {spans}
+    union all
+    select {id_col}, begin, null, null, null, null, 0 as kind, sentence from {sentences_})
+  select {id_col}, begin, "end", result, entity, priority,
+         cast(coalesce(last_value(sentence ignore nulls) over (partition by {id_col} order by begin, kind
+              rows between unbounded preceding and current row), 0) as integer) as sentence
+  from u qualify kind = 1)"""
+
+
+def tags_from_spans(tokens_: str, spans: str, id_col: str = "doc_id") -> str:
+    return f"""(with u as (
+    select {id_col}, sentence, pos, begin, "end", result, 1 as kind,
+           cast(null as integer) as se, cast(null as varchar) as st from {tokens_}
+    union all
+    select {id_col}, null, null, begin, null, null, 0 as kind, "end" as se, entity as st from {spans}),
+  c as (select *,
+    last_value(case when kind = 0 then begin end ignore nulls) over w as sb_,
+    last_value(se ignore nulls) over w as se_,
+    last_value(st ignore nulls) over w as st_
+    from u window w as (partition by {id_col} order by begin, kind rows between unbounded preceding and current row))
+  select {id_col}, sentence, pos, begin, "end", result,
+    case when se_ is not null and begin <= se_ and begin = sb_ then 'B-' || st_
+         when se_ is not null and begin <= se_ then 'I-' || st_ else 'O' end as tag
+  from c where kind = 1)"""
+
+
+def chunks_from_tags(tagged: str, docs: str, id_col: str = "doc_id", text: str = "text") -> str:
+    return f"""(with t as (
+    select {id_col}, sentence, pos, begin, "end", tag,
+      case when tag = 'O' then null else substr(tag, 3) end as typ from {tagged}),
+  f as (select *, case when tag like 'B-%' or lag(typ) over w is null or lag(typ) over w <> typ
+                        or lag(sentence) over w <> sentence then 1 else 0 end as new_
+        from t window w as (partition by {id_col} order by sentence, pos)),
+  i as (select *, sum(new_) over (partition by {id_col} order by sentence, pos
+                  rows between unbounded preceding and current row) as island from f),
+  g as (select {id_col}, island, min(begin) as begin, max("end") as "end", min(typ) as entity,
+               min(sentence) as sentence from i where typ is not null group by {id_col}, island)
+  select g.{id_col}, cast(g.begin as integer) as begin, cast(g."end" as integer) as "end",
+         substr(d.{text}, g.begin + 1, g."end" - g.begin + 1) as result, g.entity,
+         cast(g.sentence as integer) as sentence
+  from g join {docs} d on g.{id_col} = d.{id_col})"""
+
+
+def entity_table(chunks: str, id_col: str = "doc_id") -> str:
+    return f"""(select cast({id_col} as bigint) as docId, result as entity, entity as entity_type,
+         cast(sentence as integer) as sentence_num, cast(begin as integer) as start_pos,
+         concat_ws('-', cast({id_col} as varchar), coalesce(entity, 'UNK'), cast(begin as varchar)) as id
+  from {chunks})"""
+
+
+def entity_pivot(table: str, values) -> str:
+    cols = ",\n  ".join(
+        f"coalesce(string_agg(entity, ', ' order by entity) filter (where entity_type = '{v}'), '') as \"{v}\""
+        for v in values)
+    return f"(select docId,\n  {cols}\n from {table} group by docId)"
