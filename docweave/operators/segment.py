@@ -34,8 +34,17 @@ MARK = "\u0001"
 
 
 def by_document(df: DataFrame, id_col: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition documents by id once, before they fan out into tokens."""
-    return df.repartition(partitions, id_col) if partitions else df.repartition(id_col)
+    """Hash-partition documents by id once, before they fan out into tokens.
+
+    The partition count is explicit (default ``spark.sql.shuffle.partitions``)
+    because the shuffled bytes (one row per document) say little about the
+    work after it: every document expands into hundreds of token rows, and an
+    adaptive coalesce sized on the document bytes would starve that work of
+    parallelism.
+    """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, id_col)
 
 
 def context_pieces(chars: str = CONTEXT_CHARS) -> str:

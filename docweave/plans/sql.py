@@ -135,3 +135,62 @@ def entity_pivot(table: str, values) -> str:
         f"coalesce(string_agg(entity, ', ' order by entity) filter (where entity_type = '{v}'), '') as \"{v}\""
         for v in values)
     return f"(select docId,\n  {cols}\n from {table} group by docId)"
+
+
+def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int = 3, k: int | None = 10,
+             threshold: float | None = 0.6) -> str:
+    """Keyword rows (id, keyword, n, score) in DuckDB: term statistics by
+    GROUP BY + join (the Spark side uses windows); same formulas."""
+    from docweave.operators.keywords import STOPWORDS
+    stop = ", ".join(f"'{w}'" for w in sorted(set(STOPWORDS)))
+    leads = ", ".join(
+        f"lead(term, {j}) over ws as t{j}, lead(s, {j}) over ws as s{j}, "
+        f"lead(pos, {j}) over ws as p{j}, lead(stop, {j}) over ws as x{j}" for j in range(1, max_n))
+    cands = []
+    for n in range(min_n, max_n + 1):
+        ok = " and ".join(["not stop"] + [f"p{j} = pos + {j} and not x{j}" for j in range(1, n)])
+        kw = " || ' ' || ".join(["term"] + [f"t{j}" for j in range(1, n)])
+        prod = " * ".join(["s"] + [f"s{j}" for j in range(1, n)])
+        tot = " + ".join(["s"] + [f"s{j}" for j in range(1, n)])
+        cands.append(f"select {id_col}, {kw} as keyword, {n} as n, {prod} as prod, {tot} as tot from g where {ok}")
+    cand_sql = " union all ".join(cands)
+    filt = f"where score < {threshold}" if threshold is not None else ""
+    topk = (f"qualify row_number() over (partition by {id_col} order by round(ln(score), 6), keyword) <= {k}"
+            if k is not None else "")
+    return f"""(with a as (
+    select {id_col}, sentence, pos, result, regexp_matches(result, '\\p{{L}}') as word, lower(result) as term
+    from {tokens_}),
+  b as (select *,
+    case when lag(word) over ws then lag(term) over ws end as lft,
+    case when lead(word) over ws then lead(term) over ws end as rgt,
+    coalesce(sum(case when word then 1 else 0 end) over (partition by {id_col}, sentence order by pos
+             rows between unbounded preceding and 1 preceding), 0) as wb
+    from a window ws as (partition by {id_col}, sentence order by pos)),
+  w as (select *, term in ({stop}) as stop,
+      case when regexp_matches(result, '^\\p{{Lu}}') and wb > 0 then 1 else 0 end as cap,
+      case when length(result) > 1 and regexp_matches(result, '^\\p{{Lu}}+$') then 1 else 0 end as acro
+    from b where word),
+  ts as (select {id_col}, term, count(*) as tf, sum(cap) as tf_cap, sum(acro) as tf_acro,
+      count(distinct sentence) as sf, median(cast(sentence as double)) as med,
+      count(distinct lft) as dl_n, count(lft) as dl_c, count(distinct rgt) as dr_n, count(rgt) as dr_c,
+      bool_or(stop) as stop
+    from w group by {id_col}, term),
+  ds as (select {id_col}, avg(tf) filter (where not stop) as tf_mean,
+      stddev_pop(tf) filter (where not stop) as tf_std, max(tf) filter (where not stop) as tf_max
+    from ts group by {id_col}),
+  ns as (select {id_col}, max(sentence) + 1 as n_sent from w group by {id_col}),
+  r as (select ts.*, 1 + ((case when dl_c > 0 then dl_n / dl_c else 0.0 end)
+             + (case when dr_c > 0 then dr_n / dr_c else 0.0 end)) * tf / coalesce(tf_max, tf) as rel,
+      greatest(tf_cap, tf_acro) / (1 + ln(tf)) as case_,
+      ln(ln(3 + med)) as posf,
+      tf / (coalesce(tf_mean, tf) + coalesce(tf_std, 0.0)) as freq,
+      sf / n_sent as spread
+    from ts join ds using ({id_col}) join ns using ({id_col})),
+  sc as (select {id_col}, term, rel * posf / (case_ + freq / rel + spread / rel) as s from r),
+  j as (select w.{id_col}, w.sentence, w.pos, w.term, sc.s, w.stop
+    from w join sc on w.{id_col} = sc.{id_col} and w.term = sc.term),
+  g as (select *, {leads} from j window ws as (partition by {id_col}, sentence order by pos)),
+  c as ({cand_sql}),
+  kw as (select {id_col}, keyword, min(n) as n, min(prod) / (count(*) * (1 + min(tot))) as score
+    from c group by {id_col}, keyword)
+  select {id_col}, keyword, cast(n as integer) as n, score from kw {filt} {topk})"""
