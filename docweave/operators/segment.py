@@ -116,15 +116,20 @@ def tokenize(df: DataFrame, id_col: str, text_col: str, scope: str = "document",
     whitespace tokens whose leading/trailing context characters are split off
     into their own tokens.
     """
-    pattern = context_pieces(context_chars) if context_chars else WORD_PIECES
     if scope == "document":
-        src = df.select(F.col(id_col), F.lit(0).alias("sentence"), F.lit(0).alias("base"),
-                        F.col(text_col).alias("__text"))
+        src = df.select(F.col(id_col), F.lit(0).alias("sentence"), F.lit(0).alias("begin"),
+                        F.col(text_col).alias("result"))
     elif scope == "sentence":
-        src = split_sentences(df, id_col, text_col).select(
-            id_col, "sentence", F.col("begin").alias("base"), F.col("result").alias("__text"))
+        src = split_sentences(df, id_col, text_col)
     else:
         raise ValueError(f"scope must be 'document' or 'sentence', not {scope!r}")
+    return tokenize_sentences(src, id_col, context_chars)
+
+
+def tokenize_sentences(sentences: DataFrame, id_col: str, context_chars: str | None = None) -> DataFrame:
+    """Tokens of already split sentences (id, sentence, begin, result)."""
+    pattern = context_pieces(context_chars) if context_chars else WORD_PIECES
+    src = sentences.select(id_col, "sentence", F.col("begin").alias("base"), F.col("result").alias("__text"))
     pieces = src.select(id_col, "sentence", "base",
                         F.posexplode(F.regexp_extract_all("__text", F.lit(pattern), 0)).alias("pos", "piece"))
     part = [id_col, "sentence"]

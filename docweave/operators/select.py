@@ -55,11 +55,12 @@ def latest(df: DataFrame, ts: str, n: int | None, tiebreak: str | None = "id") -
     TakeOrderedAndProject (per-partition top-n, then a merge of n rows per
     partition), so the full table is never sorted.
     """
+    if n is None:
+        return df  # the whole table: no order needed, and no global sort paid
     order = [F.col(ts).desc_nulls_first()]
     if tiebreak:
         order.append(F.col(tiebreak).asc())
-    out = df.orderBy(*order)
-    return out.limit(n) if n is not None else out
+    return df.orderBy(*order).limit(n)
 
 
 def any_batch(df: DataFrame, n: int) -> DataFrame:

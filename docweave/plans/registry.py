@@ -27,5 +27,5 @@ def query(name: str, sql: str | None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules registers their queries
-    from docweave.plans import q_entities, q_keywords, q_relational, q_text  # noqa: F401
+    from docweave.plans import q_entities, q_jobs, q_keywords, q_relational, q_text  # noqa: F401
     return REGISTRY
