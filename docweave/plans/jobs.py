@@ -52,14 +52,26 @@ def annotate_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | N
     return {"sentences": sentences, "tokens": tokens, "entities": spans, "keywords": keys}
 
 
-def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | None = None) -> DataFrame:
+def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | None = None,
+                partitions: int | None = None) -> DataFrame:
     """Add ``sentences``, ``entities`` and ``keywords`` (array<string>) to each
-    document row.  Documents with no entity / keyword get an empty array."""
-    a = annotate_body(docs, id_col, text_col, p)
+    document row.  Documents with no entity / keyword get an empty array.
+
+    The text is hash-partitioned once as (id, text): every annotation branch
+    and the output read that one exchange (identical plans are reused).  The
+    other columns travel in a separate, narrow shuffle without the text, and
+    all re-joins are co-partitioned on the id, so none of them shuffles again.
+    """
+    text = segment.by_document(docs.select(id_col, text_col), id_col, partitions)
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    a = annotate_body(text, id_col, text_col, p)
     sent = _fold(a["sentences"], id_col, [F.col("begin")], "result", "sentences")
     ents = _fold(a["entities"], id_col, [F.col("begin")], "result", "entities")
     keys = _fold(a["keywords"], id_col, [kw.rank_key("score"), F.col("keyword")], "keyword", "keywords")
-    out = docs
+    out = text
+    if others:
+        meta = segment.by_document(docs.select(id_col, *others), id_col, partitions)
+        out = out.join(meta.withColumnRenamed(id_col, "__k"), F.col(id_col) == F.col("__k"), "left").drop("__k")
     for t in (sent, ents, keys):
         t = t.withColumnRenamed(id_col, "__k")
         out = out.join(t, F.col(id_col) == F.col("__k"), "left").drop("__k")
@@ -97,8 +109,7 @@ def enrich_batch(content: DataFrame, source: DataFrame, min_size: int | None = 1
     df = select.with_source(content, source)
     df = select.filter_size(df, "structure_size", min_size, max_size)
     df = select.latest(df, "last_updated", batch, "id")
-    df = segment.by_document(df, "id", partitions)
-    out = enrich_body(df, "id", "body_text", params)
+    out = enrich_body(df, "id", "body_text", params, partitions)
     return out.drop(*[c for c in WORK_COLUMNS if c in out.columns])
 
 
