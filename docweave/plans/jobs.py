@@ -174,3 +174,21 @@ def save_both(annotated: DataFrame, index_rows, table_rows, index_sink: Sink, ta
         table_sink.write(table_rows(annotated))
     finally:
         annotated.unpersist()
+
+
+def explain_documents(docs: DataFrame, id_col: str, text_col: str, tag_model) -> DataFrame:
+    """T14 preset: sentence-scoped tokens, their normal form and POS tag, folded
+    to one row per document (tokens / normalized / pos as space-joined text)."""
+    from docweave.operators import tags
+    toks = segment.tokenize(docs, id_col, text_col, scope="sentence")
+    toks = tags.tag_tokens(toks, tag_model)
+    toks = toks.withColumn("norm", F.lower(F.regexp_replace("result", r"[^\p{L}]", "")))
+    order = F.struct("sentence", "pos")
+    parts = F.sort_array(F.collect_list(F.struct(order.alias("o"), "result", "norm", "tag")))
+    g = toks.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_tokens"),
+                                 F.countDistinct("sentence").alias("n_sentences"), parts.alias("__p"))
+    return g.select(
+        id_col, "n_tokens", "n_sentences",
+        F.array_join(F.transform("__p", lambda s: s["result"]), " ").alias("tokens"),
+        F.array_join(F.filter(F.transform("__p", lambda s: s["norm"]), lambda x: x != ""), " ").alias("normalized"),
+        F.array_join(F.transform("__p", lambda s: s["tag"]), " ").alias("pos"))
