@@ -44,36 +44,43 @@ su sus un una y yo
 def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k: int | None = 10,
              threshold: float | None = 0.6, stopwords=STOPWORDS) -> DataFrame:
     """Keywords (id, keyword, score, n) from tokens (id, sentence, pos, result)."""
-    stop = F.array(*[F.lit(w) for w in sorted(set(stopwords))])
+    stop = sorted(set(stopwords))
+    # Word tokens only; token positions still count punctuation, so two words
+    # are neighbours exactly when their positions differ by one.
+    w = (tokens.select(id_col, "sentence", "pos", "result")
+         .filter(F.col("result").rlike(r"\p{L}"))
+         .withColumn("term", F.lower("result")))
     ws = Window.partitionBy(id_col, "sentence").orderBy("pos")
-    tok = tokens.select(id_col, "sentence", "pos", "result")
-    word = F.col("result").rlike(r"\p{L}")
-    tok = tok.withColumn("__word", word).withColumn("term", F.lower("result"))
-    prev_word = F.lag("__word").over(ws)
-    next_word = F.lead("__word").over(ws)
-    tok = tok.select(
+    prev_pos, next_pos = F.lag("pos").over(ws), F.lead("pos").over(ws)
+    w = w.select(
         "*",
-        F.when(prev_word, F.lag("term").over(ws)).alias("__left"),
-        F.when(next_word, F.lead("term").over(ws)).alias("__right"),
-        F.coalesce(F.sum(F.col("__word").cast("int")).over(ws.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__words_before"))
-    w = tok.filter("__word").withColumn("__stop", F.array_contains(stop, F.col("term")))
-    cap = F.col("result").rlike(r"^\p{Lu}") & (F.col("__words_before") > 0)
+        F.when(prev_pos == F.col("pos") - 1, F.lag("term").over(ws)).alias("__left"),
+        F.when(next_pos == F.col("pos") + 1, F.lead("term").over(ws)).alias("__right"),
+        prev_pos.isNull().alias("__first_word"),
+        F.col("term").isin(stop).alias("__stop"))  # a hash-set lookup (InSet)
+    cap = F.col("result").rlike(r"^\p{Lu}") & ~F.col("__first_word")
     acro = (F.length("result") > 1) & F.col("result").rlike(r"^\p{Lu}+$")
-    wt = Window.partitionBy(id_col, "term")
-    first_occ = F.min(F.struct("sentence", "pos")).over(wt)
+    # Term statistics: one window per (doc, term) ordered by occurrence.  The
+    # sentence frequency counts sentence changes, the median sentence index is
+    # read at the middle row positions; the doc window below re-uses the sort.
+    wt = Window.partitionBy(id_col, "term").orderBy("sentence", "pos")
+    full = wt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w = w.select(
         "*",
-        F.count(F.lit(1)).over(wt).alias("tf"),
-        F.sum(cap.cast("int")).over(wt).alias("tf_cap"),
-        F.sum(acro.cast("int")).over(wt).alias("tf_acro"),
-        F.size(F.collect_set("sentence").over(wt)).alias("sf"),
-        F.median(F.col("sentence").cast("double")).over(wt).alias("med"),
-        F.size(F.collect_set("__left").over(wt)).alias("dl_n"),
-        F.count("__left").over(wt).alias("dl_c"),
-        F.size(F.collect_set("__right").over(wt)).alias("dr_n"),
-        F.count("__right").over(wt).alias("dr_c"),
-        (first_occ == F.struct("sentence", "pos")).alias("__rep"))
+        F.count(F.lit(1)).over(full).alias("tf"),
+        F.sum(cap.cast("int")).over(full).alias("tf_cap"),
+        F.sum(acro.cast("int")).over(full).alias("tf_acro"),
+        F.size(F.collect_set("__left").over(full)).alias("dl_n"),
+        F.count("__left").over(full).alias("dl_c"),
+        F.size(F.collect_set("__right").over(full)).alias("dr_n"),
+        F.count("__right").over(full).alias("dr_c"),
+        (F.row_number().over(wt) - 1).alias("__rn"),
+        F.coalesce((F.lag("sentence").over(wt) != F.col("sentence")).cast("int"), F.lit(1)).alias("__new_sent"))
+    lo, hi = F.floor((F.col("tf") - 1) / 2), F.ceil((F.col("tf") - 1) / 2)
+    mid = F.when((F.col("__rn") == lo) | (F.col("__rn") == hi), F.col("sentence").cast("double"))
+    w = w.select("*", F.sum("__new_sent").over(full).alias("sf"),
+                 (F.sum(mid).over(full) / F.when(lo == hi, 1).otherwise(2)).alias("med"))
+    w = w.withColumn("__rep", F.col("__rn") == 0)
     wd = Window.partitionBy(id_col)
     rep_tf = F.when(F.col("__rep") & ~F.col("__stop"), F.col("tf"))
     w = w.select("*", F.avg(rep_tf).over(wd).alias("tf_mean"),
