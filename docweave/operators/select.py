@@ -82,3 +82,26 @@ def stamp(df: DataFrame, ts: _dt.datetime | str | Column, out: str = "timestamp"
     if isinstance(ts, str):
         value = F.to_timestamp(F.lit(ts))
     return df.withColumn(out, value)
+
+
+def newest_rows(df: DataFrame, ts: str, n: int | None, key: str = "id",
+                heavy: tuple[str, ...] = ("body_text",), max_literal_ids: int = 10000) -> DataFrame:
+    """The newest-N batch with its wide columns, without reading them for
+    every row.
+
+    ``latest`` on a frame with the text makes the scan read the text column
+    of the whole table to keep n rows.  Here the ids are chosen on a narrow
+    scan (no ``heavy`` columns); the wide rows are then fetched by an id
+    filter that reaches the Parquet scan (row-group skipping on ``key``).  The
+    ids brought to the driver are bounded by ``n``; above ``max_literal_ids``
+    a broadcast semi-join on the (n-row) id set is used instead.
+    Returns the same rows as ``latest``, unordered.
+    """
+    if n is None:
+        return df
+    light = df.drop(*[c for c in heavy if c in df.columns])
+    top = latest(light, ts, n, key).select(key)
+    if n <= max_literal_ids:
+        ids = [r[0] for r in top.collect()]
+        return df.filter(F.col(key).isin(ids))
+    return df.join(F.broadcast(top), key, "left_semi")

@@ -108,7 +108,7 @@ def enrich_batch(content: DataFrame, source: DataFrame, min_size: int | None = 1
     """
     df = select.with_source(content, source)
     df = select.filter_size(df, "structure_size", min_size, max_size)
-    df = select.latest(df, "last_updated", batch, "id")
+    df = select.newest_rows(df, "last_updated", batch, "id")
     out = enrich_body(df, "id", "body_text", params, partitions)
     return out.drop(*[c for c in WORK_COLUMNS if c in out.columns])
 
@@ -138,7 +138,7 @@ def incremental_copy(content: DataFrame, source: DataFrame, ledger: DataFrame,
     df = select.with_source(content, source)
     df = select.filter_size(df, "structure_size", min_size, max_size)
     df = select.unindexed_by_ledger(df, ledger, "id", "id")
-    return select.latest(df, "last_updated", batch, "id")
+    return select.newest_rows(df, "last_updated", batch, "id")
 
 
 def keyword_report(texts: DataFrame, id_col: str, text_col: str, min_n: int = 1, k: int = 10,

@@ -4,7 +4,7 @@ CONTENT = """(select doc_id as id,
         string_split(text, chr(10))[1] as title,
         'doc:' || source || '/' || cast(doc_id as varchar) as uri,
         text as body_text,
-        cast(n_chars as integer) as structure_size,
+        n_chars as structure_size,
         cast(substr(source, 4, 10) as integer) as source_id,
         cast(date '2020-01-01' + cast((doc_id * 7919) % 1500 as integer) as date) as last_updated
    from documents)"""

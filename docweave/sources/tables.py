@@ -41,7 +41,7 @@ def content(spark: SparkSession, sf_dir: str, with_index_date: bool = False) ->
         F.split(F.col("text"), "\n").getItem(0).alias("title"),
         F.concat(F.lit("doc:"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("uri"),
         F.col("text").alias("body_text"),
-        F.col("n_chars").cast("int").alias("structure_size"),
+        F.col("n_chars").alias("structure_size"),  # native type: size predicates reach the scan
         F.substring(F.col("source"), 4, 10).cast("int").alias("source_id"),
         last_updated("doc_id").alias("last_updated"),
     )
