@@ -115,43 +115,40 @@ def q_pivot_default_numeric(spark, sf):
                                  "o_totalprice", 0.0, ["F", "O", "P"], order="o_orderkey")
 
 
-# Two integer arrays per order: all part keys, and the supplier keys of the
-# lines with quantity > 25 (usually shorter, sometimes empty).
+# Two integer arrays per embedding row (no grouping: every row carries its own
+# arrays): the vector in hundredths, and its positive entries (shorter,
+# sometimes empty).
 _ARRAYS_SQL = """
-(select l_orderkey,
-   list(l_partkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as varA,
-   coalesce(list(l_suppkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) filter (where l_quantity > 25), []) as varB
- from lineitem group by l_orderkey)"""
+(select vec_id,
+   list_transform(embedding, lambda x: cast(floor(x * 100) as bigint)) as varA,
+   list_filter(list_transform(embedding, lambda x: cast(floor(x * 100) as bigint)), lambda v: v > 0) as varB
+ from embeddings)"""
 
 
-def _order_arrays(spark, sf):
-    li = tb.table(spark, sf, "lineitem")
-    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")))
-    per_order = li.groupBy("l_orderkey").agg(lines.alias("__l"))
-    return per_order.select(
-        "l_orderkey",
-        F.transform("__l", lambda s: s["l_partkey"]).alias("varA"),
-        F.transform(F.filter("__l", lambda s: s["l_quantity"] > 25), lambda s: s["l_suppkey"]).alias("varB"))
+def _row_arrays(spark, sf):
+    e = tb.table(spark, sf, "embeddings")
+    a = F.transform("embedding", lambda x: F.floor(x * 100).cast("bigint"))
+    return e.select("vec_id", a.alias("varA")).withColumn("varB", F.filter("varA", lambda v: v > 0))
 
 
 @query("zip_rows", f"""
-select l_orderkey, cast(i - 1 as integer) as i, z[1] as varA, z[2] as varB from (
-  select l_orderkey, unnest(list_zip(varA, varB)) as z, generate_subscripts(list_zip(varA, varB), 1) as i
+select vec_id, cast(i - 1 as integer) as i, z[1] as varA, z[2] as varB from (
+  select vec_id, unnest(list_zip(varA, varB)) as z, generate_subscripts(list_zip(varA, varB), 1) as i
   from {_ARRAYS_SQL})""")
 def q_zip_rows(spark, sf):
-    return reshape.zip_rows(_order_arrays(spark, sf), ["l_orderkey"], ["varA", "varB"])
+    return reshape.zip_rows(_row_arrays(spark, sf), ["vec_id"], ["varA", "varB"])
 
 
 @query("flat_map_rows", f"""
-select l_orderkey, cast(i - 1 as bigint) as i, varA[i] as a, varA[i] + coalesce(varB[1], 0) as b from (
-  select l_orderkey, varA, varB, generate_subscripts(varA, 1) as i from {_ARRAYS_SQL})""")
+select vec_id, cast(i - 1 as bigint) as i, varA[i] as a, varA[i] + coalesce(varB[1], 0) as b from (
+  select vec_id, varA, varB, generate_subscripts(varA, 1) as i from {_ARRAYS_SQL})""")
 def q_flat_map_rows(spark, sf):
-    arr = _order_arrays(spark, sf).select(
-        "l_orderkey", "varA",
+    arr = _row_arrays(spark, sf).select(
+        "vec_id", "varA",
         F.transform("varA", lambda x: x + F.coalesce(F.get(F.col("varB"), 0), F.lit(0))).alias("varB"))
-    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("i", T.LongType()),
+    schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("i", T.LongType()),
                            T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    return reshape.flat_map(arr, lambda pdf: reshape.pairwise(pdf, "l_orderkey", "varA", "varB")
+    return reshape.flat_map(arr, lambda pdf: reshape.pairwise(pdf, "vec_id", "varA", "varB")
                             .rename(columns={"varA": "a", "varB": "b"}), schema)
 
 
