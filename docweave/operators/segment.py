@@ -28,7 +28,6 @@ from docweave.schema import ANNOTATION
 # The rule set for sentences and tokens (ours, not a library's).
 SENTENCE_BREAK = r"([.!?]+\s+|\n+)"
 ABBREVIATIONS = ("Mr", "Mrs", "Dr", "St")
-WORD_PIECES = r"[\p{L}\p{N}_]+|\s+|[^\p{L}\p{N}_\s]"
 CONTEXT_CHARS = "(),.?!"
 MARK = "\u0001"
 
@@ -47,13 +46,6 @@ def by_document(df: DataFrame, id_col: str, partitions: int | None = None) -> Da
     return df.repartition(partitions, id_col)
 
 
-def context_pieces(chars: str = CONTEXT_CHARS) -> str:
-    """Lossless pattern: whitespace, one context character, or a core token that
-    neither starts nor ends with a context character."""
-    cls = "".join("\\" + c for c in chars)
-    return rf"[^\s{cls}](?:\S*[^\s{cls}])?|[{cls}]|\s+"
-
-
 def assemble(df: DataFrame, text_col: str, out_col: str = "document") -> DataFrame:
     """One annotation spanning the whole text; NULL text gives an empty array."""
     text = F.col(text_col)
@@ -126,22 +118,36 @@ def tokenize(df: DataFrame, id_col: str, text_col: str, scope: str = "document",
     return tokenize_sentences(src, id_col, context_chars)
 
 
+def token_pattern(context_chars: str | None = None) -> str:
+    """One token per match, with the whitespace before it: ``\\s*(?:token)``.
+
+    Matches are contiguous (only whitespace lies between tokens and it is
+    taken by the next match), so a token's end offset is the running sum of
+    match lengths; no whitespace rows are exploded."""
+    if context_chars:
+        cls = "".join("\\" + c for c in context_chars)
+        tok = rf"[^\s{cls}](?:\S*[^\s{cls}])?|[{cls}]"
+    else:
+        tok = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+    return rf"\s*(?:{tok})"
+
+
 def tokenize_sentences(sentences: DataFrame, id_col: str, context_chars: str | None = None) -> DataFrame:
-    """Tokens of already split sentences (id, sentence, begin, result)."""
-    pattern = context_pieces(context_chars) if context_chars else WORD_PIECES
+    """Tokens of already split sentences (id, sentence, begin, result).
+
+    ``pos`` is the explode position itself, so the output stays ordered by
+    (id, sentence, pos) for any later window on the same keys."""
     src = sentences.select(id_col, "sentence", F.col("begin").alias("base"), F.col("result").alias("__text"))
     pieces = src.select(id_col, "sentence", "base",
-                        F.posexplode(F.regexp_extract_all("__text", F.lit(pattern), 0)).alias("pos", "piece"))
-    part = [id_col, "sentence"]
-    w = Window.partitionBy(*part).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    is_token = F.col("piece").rlike(r"\S")
-    pieces = (_offsets(pieces, part, F.col("base"))
-              .withColumn("__tok", is_token)
-              .withColumn("pos", (F.sum(F.when(F.col("__tok"), 1).otherwise(0)).over(w) - 1).cast("int"))
-              .filter("__tok"))
-    return pieces.select(id_col, "sentence", "pos", "begin",
-                         (F.col("begin") + F.length("piece") - 1).cast("int").alias("end"),
-                         F.col("piece").alias("result"))
+                        F.posexplode(F.regexp_extract_all("__text", F.lit(token_pattern(context_chars)), 0))
+                        .alias("pos", "piece"))
+    w = Window.partitionBy(id_col, "sentence").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    token = F.regexp_replace("piece", r"^\s+", "")
+    out = pieces.select(id_col, "sentence", "pos", "base", token.alias("result"),
+                        F.sum(F.length("piece")).over(w).alias("__upto"))
+    begin = (F.col("base") + F.col("__upto") - F.length("result")).cast("int")
+    return out.select(id_col, F.col("sentence").cast("int").alias("sentence"), F.col("pos").cast("int").alias("pos"),
+                      begin.alias("begin"), (begin + F.length("result") - 1).cast("int").alias("end"), "result")
 
 
 def normalize(tokens: DataFrame, pattern: str = r"[^\p{L}]", lowercase: bool = False,

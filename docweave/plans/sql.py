@@ -38,8 +38,8 @@ def sentences(src: str, id_col: str = "doc_id", text: str = "text") -> str:
 def tokens(src: str, id_col: str = "doc_id", text: str = "text", scope: str = "document",
            context_chars: str | None = None) -> str:
     """Token rows (id, sentence, pos, begin, end, result) in DuckDB."""
-    from docweave.operators.segment import WORD_PIECES, context_pieces
-    pat = context_pieces(context_chars) if context_chars else WORD_PIECES
+    from docweave.operators.segment import token_pattern
+    pat = token_pattern(context_chars)
     if scope == "document":
         base = f"(select {id_col}, 0 as sentence, 0 as base, {text} as t from {src})"
     else:
@@ -47,14 +47,12 @@ def tokens(src: str, id_col: str = "doc_id", text: str = "text", scope: str = "d
     return f"""(with p as (
     select {id_col}, sentence, base, unnest(regexp_extract_all(t, '{pat}')) as piece,
            generate_subscripts(regexp_extract_all(t, '{pat}'), 1) as i from {base}),
-  o as (select {id_col}, sentence, i, piece, regexp_matches(piece, '\\S') as tok,
+  o as (select {id_col}, sentence, i, regexp_replace(piece, '^\\s+', '') as tok,
           base + sum(length(piece)) over (partition by {id_col}, sentence order by i
-              rows between unbounded preceding and current row) - length(piece) as begin from p)
-  select {id_col}, cast(sentence as integer) as sentence,
-         cast(row_number() over (partition by {id_col}, sentence order by i) - 1 as integer) as pos,
-         cast(begin as integer) as begin, cast(begin + length(piece) - 1 as integer) as "end",
-         piece as result
-  from o where tok)"""
+              rows between unbounded preceding and current row) as upto from p)
+  select {id_col}, cast(sentence as integer) as sentence, cast(i - 1 as integer) as pos,
+         cast(upto - length(tok) as integer) as begin, cast(upto - 1 as integer) as "end", tok as result
+  from o)"""
 
 
 def rule_spans(src: str, id_col: str = "doc_id", text: str = "text") -> str:
