@@ -107,20 +107,26 @@ def entity_chunks(tagged: DataFrame, docs: DataFrame, id_col: str, text_col: str
     or when the sentence changes (gaps-and-islands with a running sum).  The
     chunk text is the exact span of the document text.
     """
-    w = Window.partitionBy(id_col).orderBy("sentence", "pos")
+    # Token order inside a document: by begin offset (the same order as
+    # (sentence, pos)); a tagger sweep that sorted by begin leaves the rows in
+    # this order, so the window needs no sort of its own.
+    w = Window.partitionBy(id_col).orderBy("begin")
     typ = F.when(F.col(tag_col) == "O", F.lit(None)).otherwise(F.substring(F.col(tag_col), 3, 1 << 20))
     t = tagged.select(id_col, "sentence", "pos", "begin", "end", F.col(tag_col).alias("__tag"),
                       typ.alias("__type"))
     prev_type = F.lag("__type").over(w)
     prev_sent = F.lag("sentence").over(w)
-    new = (F.col("__tag").startswith("B-") | prev_type.isNull() | (prev_type != F.col("__type"))
-           | (prev_sent != F.col("sentence")))
+    new = (F.col("__type").isNull() | F.col("__tag").startswith("B-") | prev_type.isNull()
+           | (prev_type != F.col("__type")) | (prev_sent != F.col("sentence")))
     t = t.withColumn("__new", F.when(new, 1).otherwise(0))
-    t = t.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    chunks = (t.filter(F.col("__type").isNotNull())
-              .groupBy(id_col, "__island")
-              .agg(F.min("begin").alias("begin"), F.max("end").alias("end"),
-                   F.first("__type").alias("entity"), F.min("sentence").alias("sentence")))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    t = t.select("*", F.sum("__new").over(run).alias("__island"),
+                 F.last(F.when(F.col("__new") == 1, F.col("begin")), ignorenulls=True).over(run).alias("__start"))
+    # Each island is read off its last row: no group-by (and no sort) needed.
+    last = F.coalesce(F.lead("__island").over(w) != F.col("__island"), F.lit(True))
+    chunks = (t.withColumn("__last", last)
+              .filter(F.col("__type").isNotNull() & F.col("__last"))
+              .select(id_col, F.col("__start").alias("begin"), "end", F.col("__type").alias("entity"), "sentence"))
     text = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text"))
     out = chunks.join(text, F.col(id_col) == F.col("__doc"))
     return out.select(id_col, "begin", "end",

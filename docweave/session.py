@@ -23,10 +23,14 @@ DEFAULTS = {
 
 
 def get_spark(master: str | None = None, app: str = "docweave",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
+    """``driver_memory`` only takes effect when this call launches the JVM
+    (local runs); under spark-submit the cluster's setting stands."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -11,6 +11,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from docweave.session import get_spark
-    s = get_spark("local[4]", "docweave-tests", shuffle_partitions=4)
+    s = get_spark("local[4]", "docweave-tests", shuffle_partitions=4, driver_memory="6g")
     yield s
     s.stop()
