@@ -99,13 +99,15 @@ def tag_from_spans(tokens: DataFrame, spans: DataFrame, id_col: str) -> DataFram
 
 
 def entity_chunks(tagged: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-                  tag_col: str = "tag") -> DataFrame:
+                  tag_col: str = "tag", preserve_position: bool = True) -> DataFrame:
     """Merge consecutive tokens of one entity into chunks
     (id, begin, end, result, entity, sentence).
 
     A new chunk starts at a ``B-`` tag, after an ``O``, when the type changes
     or when the sentence changes (gaps-and-islands with a running sum).  The
-    chunk text is the exact span of the document text.
+    chunk text is the exact span of the document text.  With
+    ``preserve_position=False`` begin/end are relative to the first token of
+    the chunk's sentence instead of the document.
     """
     # Token order inside a document: by begin offset (the same order as
     # (sentence, pos)); a tagger sweep that sorted by begin leaves the rows in
@@ -127,8 +129,14 @@ def entity_chunks(tagged: DataFrame, docs: DataFrame, id_col: str, text_col: str
     chunks = (t.withColumn("__last", last)
               .filter(F.col("__type").isNotNull() & F.col("__last"))
               .select(id_col, F.col("__start").alias("begin"), "end", F.col("__type").alias("entity"), "sentence"))
+    if not preserve_position:
+        starts = Window.partitionBy(id_col, "sentence")
+        t0 = t.select(id_col, "sentence", F.min("begin").over(starts).alias("__sbeg")).distinct()
+        chunks = chunks.join(t0, [id_col, "sentence"])
     text = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text"))
     out = chunks.join(text, F.col(id_col) == F.col("__doc"))
-    return out.select(id_col, "begin", "end",
-                      F.col("__text").substr(F.col("begin") + 1, F.col("end") - F.col("begin") + 1).alias("result"),
-                      "entity", "sentence")
+    result = F.col("__text").substr(F.col("begin") + 1, F.col("end") - F.col("begin") + 1)
+    if preserve_position:
+        return out.select(id_col, "begin", "end", result.alias("result"), "entity", "sentence")
+    return out.select(id_col, (F.col("begin") - F.col("__sbeg")).alias("begin"),
+                      (F.col("end") - F.col("__sbeg")).alias("end"), result.alias("result"), "entity", "sentence")

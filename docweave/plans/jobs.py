@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.operators import entities, keywords as kw, reshape, segment, select
+from docweave.session import checkpoint_dir
 
 # Work columns the index never stores (only scalars and array<string> remain).
 WORK_COLUMNS = ("ner_chunk", "yake_keywords", "document", "word_embeddings", "pos",
@@ -164,31 +165,19 @@ class Sink:
         w.save(self.path) if self.path else w.save()
 
 
-def save_both(annotated: DataFrame, index_rows, table_rows, index_sink: Sink, table_sink: Sink) -> None:
-    """Write two views of one annotation run.  The shared frame is
-    persisted (memory, spilling to disk) so the annotation runs once for both
-    writes, then released."""
-    annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+def save_both(annotated: DataFrame, index_rows, table_rows, index_sink: Sink, table_sink: Sink,
+              reliable: bool = True) -> None:
+    """Write two views of one annotation run; the annotation runs once.
+
+    ``reliable`` checkpoints the shared frame into ``spark.checkpoint.dir``
+    (shared storage on a cluster): lineage is cut, so losing an executor
+    during the second write re-reads the checkpoint instead of re-running the
+    pipeline.  Otherwise it is persisted (memory, spilling to disk)."""
+    checkpoint_dir(annotated.sparkSession)
+    shared = annotated.checkpoint(eager=True) if reliable else annotated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        index_sink.write(index_rows(annotated))
-        table_sink.write(table_rows(annotated))
+        index_sink.write(index_rows(shared))
+        table_sink.write(table_rows(shared))
     finally:
-        annotated.unpersist()
-
-
-def explain_documents(docs: DataFrame, id_col: str, text_col: str, tag_model) -> DataFrame:
-    """T14 preset: sentence-scoped tokens, their normal form and POS tag, folded
-    to one row per document (tokens / normalized / pos as space-joined text)."""
-    from docweave.operators import tags
-    toks = segment.tokenize(docs, id_col, text_col, scope="sentence")
-    toks = tags.tag_tokens(toks, tag_model)
-    toks = toks.withColumn("norm", F.lower(F.regexp_replace("result", r"[^\p{L}]", "")))
-    order = F.struct("sentence", "pos")
-    parts = F.sort_array(F.collect_list(F.struct(order.alias("o"), "result", "norm", "tag")))
-    g = toks.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_tokens"),
-                                 F.countDistinct("sentence").alias("n_sentences"), parts.alias("__p"))
-    return g.select(
-        id_col, "n_tokens", "n_sentences",
-        F.array_join(F.transform("__p", lambda s: s["result"]), " ").alias("tokens"),
-        F.array_join(F.filter(F.transform("__p", lambda s: s["norm"]), lambda x: x != ""), " ").alias("normalized"),
-        F.array_join(F.transform("__p", lambda s: s["tag"]), " ").alias("pos"))
+        if not reliable:
+            shared.unpersist()

@@ -71,3 +71,11 @@ def test_chunks_split_on_type_change_and_b(spark):
     out = entities.entity_chunks(tagged, docs, "id", "text")
     assert sorted((r["result"], r["entity"]) for r in out.collect()) == [
         ("a", "X"), ("b", "Y"), ("c", "Y"), ("d", "Y")]
+
+
+def test_chunks_relative_to_sentence(spark):
+    rows = [(1, 0, 0, 0, 2, "Abc", "O"), (1, 1, 0, 4, 6, "Def", "B-X"), (1, 1, 1, 8, 10, "Ghi", "I-X")]
+    tagged = spark.createDataFrame(rows, "id long, sentence int, pos int, begin int, end int, result string, tag string")
+    docs = spark.createDataFrame([(1, "Abc Def Ghi")], "id long, text string")
+    out = entities.entity_chunks(tagged, docs, "id", "text", preserve_position=False).collect()
+    assert [(r["result"], r["begin"], r["end"], r["sentence"]) for r in out] == [("Def Ghi", 0, 6, 1)]
