@@ -35,12 +35,12 @@ def duck():
 def test_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sorted(sdf.columns)
-    srows = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
+    srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(dcols) == cols
     idx = [dcols.index(c) for c in cols]
-    drows = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
+    drows = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert srows == drows
 
 
