@@ -188,7 +188,7 @@ def q_word_vectors(spark, sf):
 def q_train_tagger(spark, sf):
     model = tags.train_tagger(lang_tokens(spark, sf), "doc_id", "lang", max_iter=3)
     toks = segment.tokenize(messages(spark, sf), "msg_id", "text")
-    return tags.apply_tagger(model, toks, "msg_id").select("msg_id", "pos", "result", "predicted_label")
+    return tags.apply_tagger(model, toks, "msg_id").select("msg_id", "pos", "result", "tag")
 
 
 # --- T14 explain documents preset -------------------------------------------

@@ -42,4 +42,13 @@ def test_resources_round_trip(spark):
     mp = os.path.join(tempfile.mkdtemp(prefix="dw-res-"), "tagger.model")
     lr.write().overwrite().save(mp)
     again = files.load_resource(spark, mp)
-    assert "predicted_label" in tags.apply_tagger(again, toks.limit(10), "doc_id").columns
+    assert "tag" in tags.apply_tagger(again, toks.limit(10), "doc_id").columns
+
+
+def test_entity_job_keeps_documents_without_entities(spark):
+    content = tb.content(spark, SF_SMALL)
+    out = jobs.entity_job(content, 1000, 10000)
+    n_docs = content.filter((F.col("structure_size") > 1000) & (F.col("structure_size") < 10000)).count()
+    assert out["rows"].count() == n_docs
+    assert out["pivot"].count() <= n_docs
+    assert set(out["table"].columns) == {"docId", "entity", "entity_type", "sentence_num", "start_pos", "id"}
