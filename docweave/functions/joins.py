@@ -22,3 +22,23 @@ def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFr
     Catalyst; AQE's skew-join handling splits hot keys on the large side.
     """
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def lookup_join(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, how: str = "left",
+                salt_by: list[str] | None = None, salts: int = 16,
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join a (possibly very skewed) row table to a lookup table on one key.
+
+    Small lookup (bounded count): broadcast hash join, no shuffle.  Otherwise
+    the join is salted: each big-side row gets ``pmod(xxhash64(salt_by), salts)``
+    (deterministic, so a recomputed task sees the same salt) and the lookup
+    rows are repeated once per salt, so a hot key (a frequent token) is split
+    over ``salts`` tasks instead of landing in one.
+    """
+    if is_small(lookup, max_broadcast_rows):
+        return big.join(F.broadcast(lookup), big[big_key] == lookup[lookup_key], how)
+    cols = salt_by or big.columns
+    b = big.withColumn("__salt_b", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)))
+    lk = lookup.withColumn("__salt_l", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    cond = (b[big_key] == lk[lookup_key]) & (b["__salt_b"] == lk["__salt_l"])
+    return b.join(lk, cond, how).drop("__salt_b", "__salt_l")

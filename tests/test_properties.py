@@ -108,3 +108,14 @@ def test_global_rank_is_dense_and_ordered(spark):
     r = global_rank(df, [F.col("v")], "rank", partitions=7).orderBy("rank").collect()
     assert [x["rank"] for x in r] == list(range(1000))
     assert [x["v"] for x in r] == sorted(x["v"] for x in r)
+
+
+def test_salted_lookup_join_equals_plain_join(spark):
+    from docweave.functions.joins import lookup_join
+    big = spark.createDataFrame([(i, "the" if i % 3 else f"w{i % 7}") for i in range(300)], "id long, tok string")
+    lk = spark.createDataFrame([("the", "DET"), ("w1", "N"), ("w2", "V")], "k string, tag string")
+    salted = lookup_join(big, lk, "tok", "k", "left", salt_by=["id"], salts=4, max_broadcast_rows=1)
+    plain = big.join(lk, big["tok"] == lk["k"], "left")
+    key = lambda r: (r["id"], r["tag"])
+    assert sorted(map(key, salted.collect()), key=repr) == sorted(map(key, plain.collect()), key=repr)
+    assert salted.count() == 300
