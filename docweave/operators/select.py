@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions.joins import lookup_side, DEFAULT_BROADCAST_ROWS
+from docweave.functions.joins import DEFAULT_BROADCAST_ROWS, lookup_join
 
 
 def with_source(content: DataFrame, source: DataFrame, key: str = "source_id",
@@ -17,12 +17,12 @@ def with_source(content: DataFrame, source: DataFrame, key: str = "source_id",
     """``select c.*, src.label as source from content c left join source src``.
 
     Unmatched content rows stay with a NULL label.  The lookup side is
-    broadcast only after a bounded row count proves it small.
+    broadcast only after a bounded row count proves it small; otherwise the
+    join is salted, since one source may hold a large share of the content.
     """
     src = source.select(F.col(source_key).alias("__src_id"), F.col(label).alias(out))
-    src = lookup_side(src, max_broadcast_rows)
-    return (content.join(src, content[key] == src["__src_id"], "left")
-            .drop("__src_id"))
+    return lookup_join(content, src, key, "__src_id", "left",
+                       max_broadcast_rows=max_broadcast_rows).drop("__src_id")
 
 
 def filter_size(df: DataFrame, col: str, lo: int | None, hi: int | None) -> DataFrame:
