@@ -36,12 +36,16 @@ def rule_spans(docs: DataFrame, id_col: str, text_col: str,
     With ``resolve``, a hit that starts inside an earlier-starting hit (ties:
     longer first, then rule priority) is dropped, so kept spans never overlap.
     """
+    hits = docs.select(F.col(id_col), F.col(text_col), *[
+        F.regexp_extract_all(F.col(text_col), F.lit(pattern), 0).alias(f"__h{prio}")
+        for prio, (_, pattern) in enumerate(rules)])
+    # The gaps (a second regex pass) are only computed for rules that hit.
     per_rule = F.array(*[
         F.struct(F.lit(name).alias("entity"), F.lit(prio).alias("priority"),
-                 F.split(F.col(text_col), pattern).alias("gaps"),
-                 F.regexp_extract_all(F.col(text_col), F.lit(pattern), 0).alias("hits"))
+                 F.when(F.size(f"__h{prio}") > 0, F.split(F.col(text_col), pattern)).alias("gaps"),
+                 F.col(f"__h{prio}").alias("hits"))
         for prio, (name, pattern) in enumerate(rules)])
-    r = docs.select(F.col(id_col), F.explode(per_rule).alias("r")).select(id_col, "r.*")
+    r = hits.select(F.col(id_col), F.explode(per_rule).alias("r")).select(id_col, "r.*")
     r = r.filter(F.size("hits") > 0)
     z = r.select(id_col, "entity", "priority",
                  F.posexplode(F.arrays_zip(F.slice("gaps", 1, F.size("hits")).alias("g"),
