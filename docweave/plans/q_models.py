@@ -56,19 +56,19 @@ def q_tag_tokens(spark, sf):
 
 # --- T9a gazetteer ----------------------------------------------------------
 def bench_dictionary(spark, sf):
-    """Phrases: the first three tokens of each benchmark item, type BENCH."""
+    """Phrases: every three adjacent tokens of the benchmark texts, type BENCH
+    (finds benchmark passages inside documents)."""
     b = segment.by_document(tb.table(spark, sf, "benchmark").select("item_id", "text"), "item_id")
-    toks = segment.tokenize(b, "item_id", "text").filter(F.col("pos") < 3)
-    phrases = toks.groupBy("item_id").agg(
-        F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("pos", F.lower("result").alias("w")))),
-                                     lambda s: s["w"])).alias("phrase"),
-        F.count(F.lit(1)).alias("n"))
-    return phrases.filter(F.col("n") == 3).select("phrase", F.lit("BENCH").alias("type"))
+    toks = segment.tokenize(b, "item_id", "text", scope="sentence")
+    return tags.ngram_dictionary(toks, "item_id", 3, "BENCH")
 
 
 _DICT = f"""(select distinct phrase, 'BENCH' as type from (
-  select item_id, string_agg(lower(result), ' ' order by pos) as phrase, count(*) as n
-  from {sql.tokens('benchmark', 'item_id')} where pos < 3 group by item_id) where n = 3)"""
+  select case when lead(pos, 1) over w = pos + 1 and lead(pos, 2) over w = pos + 2
+         then lower(result) || ' ' || lower(lead(result, 1) over w) || ' ' || lower(lead(result, 2) over w)
+         end as phrase
+  from {sql.tokens('benchmark', 'item_id', scope='sentence')}
+  window w as (partition by item_id, sentence order by pos)) where phrase is not null)"""
 
 
 def _gaz_sql(toks: str) -> str:
@@ -168,7 +168,7 @@ select doc_id, sentence, n_tokens, round(list_sum(vector), 4) as vsum, round(vec
   select doc_id, sentence, max(n) as n_tokens, list(v order by dim) as vector from (
     select doc_id, sentence, dim, avg(x) as v, count(*) as n from (
       select doc_id, sentence, unnest(embedding) as x, generate_subscripts(embedding, 1) as dim
-      from {_EMBEDDED} where pos < 512) group by doc_id, sentence, dim)
+      from {_EMBEDDED}) group by doc_id, sentence, dim)
   group by doc_id, sentence)""")
 def q_sentence_vectors(spark, sf):
     sv = vectors.sentence_vectors(embedded(spark, sf), "doc_id", 64)
