@@ -15,15 +15,6 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven <= max_rows, else ``df``.
-
-    Beyond the bound the join falls back to a shuffle join planned by
-    Catalyst; AQE's skew-join handling splits hot keys on the large side.
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def lookup_join(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, how: str = "left",
                 salt_by: list[str] | None = None, salts: int = 16,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

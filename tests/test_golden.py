@@ -1,7 +1,6 @@
 """Golden outputs: the pivot-with-default table, array zip rows, chunk merging."""
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from docweave.operators import entities, reshape
 

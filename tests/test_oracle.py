@@ -1,6 +1,5 @@
 """Registered queries against their DuckDB oracle on the smallest tables."""
 
-import math
 
 import duckdb
 import pytest
