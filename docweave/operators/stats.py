@@ -27,8 +27,9 @@ def pi_from_keys(df: DataFrame, key: str, grid: int = 1000) -> DataFrame:
     x = (((k * 7919) % grid) + 0.5) / grid
     y = (((k * 104729) % grid) + 0.5) / grid
     inside = F.when(x * x + y * y <= 1.0, 1).otherwise(0)
+    # try_divide: an empty table gives NULL instead of a division error (ANSI)
     return df.agg(F.count(F.lit(1)).alias("samples"),
-                  (F.lit(4.0) * F.sum(inside) / F.count(F.lit(1))).alias("pi"))
+                  F.try_divide(F.lit(4.0) * F.sum(inside), F.count(F.lit(1))).alias("pi"))
 
 
 def with_checksum(df: DataFrame, col: str | Column, algorithm: str = "SHA-256",

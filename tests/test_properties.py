@@ -119,3 +119,16 @@ def test_salted_lookup_join_equals_plain_join(spark):
     key = lambda r: (r["id"], r["tag"])
     assert sorted(map(key, salted.collect()), key=repr) == sorted(map(key, plain.collect()), key=repr)
     assert salted.count() == 300
+
+
+def test_null_empty_and_stopword_only_texts(spark):
+    from docweave.operators import stats
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "the and of."), (4, "   \n\n  ")],
+                                 "doc_id long, text string")
+    assert segment.split_sentences(docs, "doc_id", "text").count() == 1
+    assert segment.tokenize(docs, "doc_id", "text").count() == 4
+    toks = segment.tokenize(docs, "doc_id", "text", scope="sentence", context_chars=segment.CONTEXT_CHARS)
+    assert keywords.keywords(toks, "doc_id").count() == 0
+    assert entities.rule_spans(docs, "doc_id", "text").count() == 0
+    empty = spark.range(0).withColumnRenamed("id", "k")
+    assert stats.pi_from_keys(empty, "k").first()["pi"] is None
