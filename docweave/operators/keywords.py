@@ -56,10 +56,11 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
         "*",
         F.when(prev_pos == F.col("pos") - 1, F.lag("term").over(ws)).alias("__left"),
         F.when(next_pos == F.col("pos") + 1, F.lead("term").over(ws)).alias("__right"),
-        prev_pos.isNull().alias("__first_word"),
-        F.col("term").isin(stop).alias("__stop"))  # a hash-set lookup (InSet)
-    cap = F.col("result").rlike(r"^\p{Lu}") & ~F.col("__first_word")
-    acro = (F.length("result") > 1) & F.col("result").rlike(r"^\p{Lu}+$")
+        F.col("term").isin(stop).alias("__stop"),  # a hash-set lookup (InSet)
+        # case flags here, so the token text is not carried through the term sort
+        (F.col("result").rlike(r"^\p{Lu}") & prev_pos.isNotNull()).cast("int").alias("__cap"),
+        ((F.length("result") > 1) & F.col("result").rlike(r"^\p{Lu}+$")).cast("int").alias("__acro"))
+    w = w.drop("result")
     # Term statistics: one window per (doc, term) ordered by occurrence.  The
     # sentence frequency counts sentence changes, the median sentence index is
     # read at the middle row positions; the doc window below re-uses the sort.
@@ -68,8 +69,8 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
     w = w.select(
         "*",
         F.count(F.lit(1)).over(full).alias("tf"),
-        F.sum(cap.cast("int")).over(full).alias("tf_cap"),
-        F.sum(acro.cast("int")).over(full).alias("tf_acro"),
+        F.sum("__cap").over(full).alias("tf_cap"),
+        F.sum("__acro").over(full).alias("tf_acro"),
         F.size(F.collect_set("__left").over(full)).alias("dl_n"),
         F.count("__left").over(full).alias("dl_c"),
         F.size(F.collect_set("__right").over(full)).alias("dr_n"),
