@@ -42,8 +42,13 @@ su sus un una y yo
 
 
 def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k: int | None = 10,
-             threshold: float | None = 0.6, stopwords=STOPWORDS) -> DataFrame:
-    """Keywords (id, keyword, score, n) from tokens (id, sentence, pos, result)."""
+             threshold: float | None = 0.6, stopwords=STOPWORDS, window: int = 1,
+             _general_window: bool = False) -> DataFrame:
+    """Keywords (id, keyword, score, n) from tokens (id, sentence, pos, result).
+
+    ``window`` is the co-occurrence window: the up-to-``window`` adjacent
+    words on each side (no punctuation in between) count as context for DL/DR.
+    """
     stop = sorted(set(stopwords))
     # Word tokens only; token positions still count punctuation, so two words
     # are neighbours exactly when their positions differ by one.
@@ -52,10 +57,20 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
          .withColumn("term", F.lower("result")))
     ws = Window.partitionBy(id_col, "sentence").orderBy("pos")
     prev_pos, next_pos = F.lag("pos").over(ws), F.lead("pos").over(ws)
+    if window > 1 or _general_window:
+        # arrays of the adjacent context words on each side
+        lefts = F.filter(F.array(*[
+            F.when(F.lag("pos", j).over(ws) == F.col("pos") - j, F.lag("term", j).over(ws))
+            for j in range(1, window + 1)]), lambda x: x.isNotNull())
+        rights = F.filter(F.array(*[
+            F.when(F.lead("pos", j).over(ws) == F.col("pos") + j, F.lead("term", j).over(ws))
+            for j in range(1, window + 1)]), lambda x: x.isNotNull())
+        ctx = [lefts.alias("__lefts"), rights.alias("__rights")]
+    else:
+        ctx = [F.when(prev_pos == F.col("pos") - 1, F.lag("term").over(ws)).alias("__left"),
+               F.when(next_pos == F.col("pos") + 1, F.lead("term").over(ws)).alias("__right")]
     w = w.select(
-        "*",
-        F.when(prev_pos == F.col("pos") - 1, F.lag("term").over(ws)).alias("__left"),
-        F.when(next_pos == F.col("pos") + 1, F.lead("term").over(ws)).alias("__right"),
+        "*", *ctx,
         F.col("term").isin(stop).alias("__stop"),  # a hash-set lookup (InSet)
         # case flags here, so the token text is not carried through the term sort
         (F.col("result").rlike(r"^\p{Lu}") & prev_pos.isNotNull()).cast("int").alias("__cap"),
@@ -71,10 +86,7 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
         F.count(F.lit(1)).over(full).alias("tf"),
         F.sum("__cap").over(full).alias("tf_cap"),
         F.sum("__acro").over(full).alias("tf_acro"),
-        F.size(F.collect_set("__left").over(full)).alias("dl_n"),
-        F.count("__left").over(full).alias("dl_c"),
-        F.size(F.collect_set("__right").over(full)).alias("dr_n"),
-        F.count("__right").over(full).alias("dr_c"),
+        *_context_counts(window > 1 or _general_window, full),
         (F.row_number().over(wt) - 1).alias("__rn"),
         F.coalesce((F.lag("sentence").over(wt) != F.col("sentence")).cast("int"), F.lit(1)).alias("__new_sent"))
     lo, hi = F.floor((F.col("tf") - 1) / 2), F.ceil((F.col("tf") - 1) / 2)
@@ -129,6 +141,19 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
     return kw
 
 
+def _context_counts(arrays: bool, full) -> list:
+    """dl_n/dl_c/dr_n/dr_c: distinct context terms and co-occurrences."""
+    if not arrays:
+        return [F.size(F.collect_set("__left").over(full)).alias("dl_n"),
+                F.count("__left").over(full).alias("dl_c"),
+                F.size(F.collect_set("__right").over(full)).alias("dr_n"),
+                F.count("__right").over(full).alias("dr_c")]
+    return [F.size(F.array_distinct(F.flatten(F.collect_list("__lefts").over(full)))).alias("dl_n"),
+            F.sum(F.size("__lefts")).over(full).alias("dl_c"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("__rights").over(full)))).alias("dr_n"),
+            F.sum(F.size("__rights")).over(full).alias("dr_c")]
+
+
 def rank_key(score) -> "F.Column":
     """Ordering key for scores: equal to 6 significant digits counts as a tie
     (then the keyword decides), so engines that differ in the last bits of a

@@ -132,3 +132,14 @@ def test_null_empty_and_stopword_only_texts(spark):
     assert entities.rule_spans(docs, "doc_id", "text").count() == 0
     empty = spark.range(0).withColumnRenamed("id", "k")
     assert stats.pi_from_keys(empty, "k").first()["pi"] is None
+
+
+def test_keyword_window_general_path_matches_fast_path(spark):
+    d = _docs(spark)
+    toks = segment.tokenize(d, "doc_id", "text", scope="sentence", context_chars=segment.CONTEXT_CHARS)
+    fast = keywords.keywords(toks, "doc_id", 1, 3, 10, 0.6)
+    general = keywords.keywords(toks, "doc_id", 1, 3, 10, 0.6, _general_window=True)
+    key = lambda r: (r["doc_id"], r["keyword"], round(r["score"], 9))
+    assert sorted(map(key, fast.collect())) == sorted(map(key, general.collect()))
+    wide = keywords.keywords(toks, "doc_id", 1, 3, 10, None, window=3)
+    assert wide.count() > 0 and wide.filter(F.col("score") <= 0).count() == 0
