@@ -32,7 +32,8 @@ CONTEXT_CHARS = "(),.?!"
 MARK = "\u0001"
 
 
-def by_document(df: DataFrame, id_col: str, partitions: int | None = None) -> DataFrame:
+def by_document(df: DataFrame, id_col: str, partitions: int | None = None,
+                keep_layout: bool = False) -> DataFrame:
     """Hash-partition documents by id once, before they fan out into tokens.
 
     The partition count is explicit (default ``spark.sql.shuffle.partitions``)
@@ -40,7 +41,13 @@ def by_document(df: DataFrame, id_col: str, partitions: int | None = None) -> Da
     work after it: every document expands into hundreds of token rows, and an
     adaptive coalesce sized on the document bytes would starve that work of
     parallelism.
+
+    With ``keep_layout`` the frame is returned as it is: use it when the
+    documents come from a table bucketed by the id (``tables.save_bucketed``),
+    whose scan is already hash-partitioned, so no shuffle happens at all.
     """
+    if keep_layout:
+        return df
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, id_col)

@@ -55,7 +55,7 @@ def annotate_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | N
 
 
 def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | None = None,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, keep_layout: bool = False) -> DataFrame:
     """Add ``sentences``, ``entities`` and ``keywords`` (array<string>) to each
     document row.  Documents with no entity / keyword get an empty array.
 
@@ -64,7 +64,7 @@ def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | Non
     other columns travel in a separate, narrow shuffle without the text, and
     all re-joins are co-partitioned on the id, so none of them shuffles again.
     """
-    text = segment.by_document(docs.select(id_col, text_col), id_col, partitions)
+    text = segment.by_document(docs.select(id_col, text_col), id_col, partitions, keep_layout)
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     a = annotate_body(text, id_col, text_col, p)
     sent = _fold(a["sentences"], id_col, [F.col("begin")], "result", "sentences")
@@ -72,7 +72,7 @@ def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | Non
     keys = _fold(a["keywords"], id_col, [kw.rank_key("score"), F.col("keyword")], "keyword", "keywords")
     out = text
     if others:
-        meta = segment.by_document(docs.select(id_col, *others), id_col, partitions)
+        meta = segment.by_document(docs.select(id_col, *others), id_col, partitions, keep_layout)
         out = out.join(meta.withColumnRenamed(id_col, "__k"), F.col(id_col) == F.col("__k"), "left").drop("__k")
     for t in (sent, ents, keys):
         t = t.withColumnRenamed(id_col, "__k")

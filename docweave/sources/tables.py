@@ -73,3 +73,12 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         F.col("page_id").alias("id"),
         F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"))
+
+
+def save_bucketed(df: DataFrame, table_name: str, id_col: str, buckets: int, mode: str = "overwrite") -> None:
+    """Store a document table bucketed (and sorted) by its id in the session
+    catalog.  Reading it back with ``spark.table`` gives a scan that is
+    already hash-partitioned by the id, so the per-document operators run
+    with ``keep_layout=True`` and shuffle nothing."""
+    (df.write.mode(mode).bucketBy(buckets, id_col).sortBy(id_col).format("parquet")
+     .saveAsTable(table_name))

@@ -31,3 +31,23 @@ def test_scan_prunes_columns(spark):
     df = tb.content(spark, SF_SMALL).select("id", "structure_size")
     p = _plan(df)
     assert re.search(r"ReadSchema: struct<doc_id:bigint,n_chars:bigint>", p)
+
+
+def test_bucketed_documents_need_no_shuffle(spark):
+    import uuid
+    name = f"docs_b{uuid.uuid4().hex[:8]}"
+    docs = tb.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    tb.save_bucketed(docs, name, "doc_id", 4)
+    try:
+        stored = spark.table(name)
+        toks = segment.tokenize(segment.by_document(stored, "doc_id", keep_layout=True), "doc_id", "text",
+                                scope="sentence")
+        assert "Exchange" not in _plan(toks)
+        plain = segment.tokenize(segment.by_document(docs, "doc_id"), "doc_id", "text", scope="sentence")
+        assert toks.exceptAll(plain).count() == 0 and plain.exceptAll(toks).count() == 0
+        out = jobs.enrich_body(stored, "doc_id", "text", keep_layout=True)
+        plan = _plan(out)
+        assert "REPARTITION" not in plan
+        assert out.count() == docs.count()
+    finally:
+        spark.sql(f"drop table if exists {name}")
