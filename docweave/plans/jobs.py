@@ -94,15 +94,16 @@ def enrich_title(docs: DataFrame, id_col: str, title_col: str, k: int = 3,
     return out.withColumn("title_keywords", F.coalesce("title_keywords", F.array().cast("array<string>")))
 
 
-def title_keywords(content: DataFrame, k: int = 3, id_col: str = "id", title_col: str = "title") -> DataFrame:
+def title_keywords(content: DataFrame, k: int = 3, id_col: str = "id", title_col: str = "title",
+                   keep_layout: bool = False) -> DataFrame:
     """(id, title, title_keywords) for every content row."""
-    docs = segment.by_document(content.select(id_col, title_col), id_col)
+    docs = segment.by_document(content.select(id_col, title_col), id_col, keep_layout=keep_layout)
     return enrich_title(docs, id_col, title_col, k)
 
 
 def enrich_batch(content: DataFrame, source: DataFrame, min_size: int | None = 1000,
                  max_size: int | None = 100000, batch: int | None = 30, partitions: int | None = None,
-                 params: BodyParams | None = None) -> DataFrame:
+                 params: BodyParams | None = None, keep_layout: bool = False) -> DataFrame:
     """G1: lookup join, size window, newest batch, body pipeline, index rows.
 
     Output: the content columns + ``source`` + ``sentences``/``entities``/
@@ -111,19 +112,19 @@ def enrich_batch(content: DataFrame, source: DataFrame, min_size: int | None = 1
     df = select.with_source(content, source)
     df = select.filter_size(df, "structure_size", min_size, max_size)
     df = select.newest_rows(df, "last_updated", batch, "id")
-    out = enrich_body(df, "id", "body_text", params, partitions)
+    out = enrich_body(df, "id", "body_text", params, partitions, keep_layout)
     return out.drop(*[c for c in WORK_COLUMNS if c in out.columns])
 
 
 def entity_job(content: DataFrame, min_size: int | None = 1000, max_size: int | None = 10000,
-               types=None, partitions: int | None = None) -> dict:
+               types=None, partitions: int | None = None, keep_layout: bool = False) -> dict:
     """Entity table, per-type pivot and the pivot re-joined to the rows.
 
     Returns lazy frames ``table``, ``pivot``, ``rows``; ``save_both`` writes
     two of them from one persisted annotation.
     """
     df = select.filter_size(content, "structure_size", min_size, max_size)
-    df = segment.by_document(df, "id", partitions)
+    df = segment.by_document(df, "id", partitions, keep_layout)
     sentences = segment.split_sentences(df, "id", "body_text")
     spans = entities.assign_sentences(entities.rule_spans(df, "id", "body_text"), sentences, "id")
     table = reshape.entity_table(spans, "id")
