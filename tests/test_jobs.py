@@ -52,3 +52,14 @@ def test_entity_job_keeps_documents_without_entities(spark):
     assert out["rows"].count() == n_docs
     assert out["pivot"].count() <= n_docs
     assert set(out["table"].columns) == {"docId", "entity", "entity_type", "sentence_num", "start_pos", "id"}
+
+
+def test_fits_on_empty_input(spark):
+    import pytest
+    empty = spark.createDataFrame([], "doc_id long, sentence int, pos int, result string, lang string")
+    model = tags.fit_tags(empty, "result", "lang")
+    assert model.default == "O" and model.by_token.count() == 0
+    toks = spark.createDataFrame([(1, 0, 0, "Hello")], "doc_id long, sentence int, pos int, result string")
+    assert tags.tag_tokens(toks, model).first()["tag"] == "O"
+    with pytest.raises(ValueError):
+        tags.train_tagger(empty, "doc_id", "lang")
