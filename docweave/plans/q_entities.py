@@ -105,3 +105,18 @@ def q_metadata_keys(spark, sf):
     rows = ann.metadata_keys(rows, "metadata", "k")
     return rows.select("doc_id", "begin", F.array_join("k", ",").alias("keys"),
                        ann.metadata_value("metadata", "score").alias("score"))
+
+
+@query("entity_chunks_relative", f"""
+with t as (select * from {sql.tags_from_spans(sql.tokens('documents', scope='sentence'), _SPANS)}),
+  s as (select doc_id, sentence, min(begin) as sbeg from t group by doc_id, sentence),
+  c as (select * from {sql.chunks_from_tags(
+      sql.tags_from_spans(sql.tokens('documents', scope='sentence'), _SPANS), 'documents')})
+select c.doc_id, cast(c.begin - s.sbeg as integer) as begin, cast(c."end" - s.sbeg as integer) as "end",
+       c.result, c.entity, c.sentence
+from c join s on c.doc_id = s.doc_id and c.sentence = s.sentence""")
+def q_entity_chunks_relative(spark, sf):
+    d = docs(spark, sf)
+    tagged = entities.tag_from_spans(segment.tokenize(d, "doc_id", "text", scope="sentence"),
+                                     entities.rule_spans(d, "doc_id", "text"), "doc_id")
+    return entities.entity_chunks(tagged, d, "doc_id", "text", preserve_position=False)

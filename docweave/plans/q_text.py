@@ -91,3 +91,11 @@ select doc_id, string_agg(result, ' ' order by pos) as text from {sql.tokens('do
 def q_regroup_text(spark, sf):
     toks = segment.tokenize(docs(spark, sf), "doc_id", "text")
     return reshape.regroup(toks, "doc_id", "result", " ", "pos", "text")
+
+
+@query("normalize_keep_case", f"""
+select doc_id, pos, regexp_replace(result, '[^A-Za-z]', '', 'g') as normalized
+from {sql.tokens('documents')} where regexp_replace(result, '[^A-Za-z]', '', 'g') <> ''""")
+def q_normalize_keep_case(spark, sf):
+    toks = segment.tokenize(docs(spark, sf), "doc_id", "text")
+    return segment.normalize(toks, pattern="[^A-Za-z]").select("doc_id", "pos", "normalized")
