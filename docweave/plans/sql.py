@@ -136,7 +136,7 @@ def entity_pivot(table: str, values) -> str:
 
 
 def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int = 3, k: int | None = 10,
-             threshold: float | None = 0.6) -> str:
+             threshold: float | None = 0.6, window: int = 1) -> str:
     """Keyword rows (id, keyword, n, score) in DuckDB: term statistics by
     GROUP BY + join (the Spark side uses windows); same formulas."""
     from docweave.operators.keywords import STOPWORDS
@@ -152,6 +152,20 @@ def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int =
         tot = " + ".join(["s"] + [f"s{j}" for j in range(1, n)])
         cands.append(f"select {id_col}, {kw} as keyword, {n} as n, {prod} as prod, {tot} as tot from g where {ok}")
     cand_sql = " union all ".join(cands)
+    if window == 1:
+        ctx_sql = ("case when lag(word) over ws then lag(term) over ws end as lft,\n"
+                   "    case when lead(word) over ws then lead(term) over ws end as rgt,")
+        ctx_agg = "count(distinct lft) as dl_n, count(lft) as dl_c, count(distinct rgt) as dr_n, count(rgt) as dr_c,"
+    else:
+        def side(fn):
+            # the j-th neighbour counts when every token up to it is a word
+            items = ", ".join(
+                "case when " + " and ".join(f"coalesce({fn}(word, {i}) over ws, false)" for i in range(1, j + 1))
+                + f" then {fn}(term, {j}) over ws end" for j in range(1, window + 1))
+            return f"list_filter([{items}], lambda x: x is not null)"
+        ctx_sql = f"{side('lag')} as lfts,\n    {side('lead')} as rgts,"
+        ctx_agg = ("len(list_distinct(flatten(list(lfts)))) as dl_n, sum(len(lfts)) as dl_c, "
+                   "len(list_distinct(flatten(list(rgts)))) as dr_n, sum(len(rgts)) as dr_c,")
     filt = f"where score < {threshold}" if threshold is not None else ""
     topk = (f"qualify row_number() over (partition by {id_col} order by round(ln(score), 6), keyword) <= {k}"
             if k is not None else "")
@@ -159,8 +173,7 @@ def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int =
     select {id_col}, sentence, pos, result, regexp_matches(result, '\\p{{L}}') as word, lower(result) as term
     from {tokens_}),
   b as (select *,
-    case when lag(word) over ws then lag(term) over ws end as lft,
-    case when lead(word) over ws then lead(term) over ws end as rgt,
+    {ctx_sql}
     coalesce(sum(case when word then 1 else 0 end) over (partition by {id_col}, sentence order by pos
              rows between unbounded preceding and 1 preceding), 0) as wb
     from a window ws as (partition by {id_col}, sentence order by pos)),
@@ -170,7 +183,7 @@ def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int =
     from b where word),
   ts as (select {id_col}, term, count(*) as tf, sum(cap) as tf_cap, sum(acro) as tf_acro,
       count(distinct sentence) as sf, median(cast(sentence as double)) as med,
-      count(distinct lft) as dl_n, count(lft) as dl_c, count(distinct rgt) as dr_n, count(rgt) as dr_c,
+      {ctx_agg}
       bool_or(stop) as stop
     from w group by {id_col}, term),
   ds as (select {id_col}, avg(tf) filter (where not stop) as tf_mean,
