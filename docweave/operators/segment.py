@@ -1,18 +1,24 @@
 """Text segmentation: document assembler, sentences, tokens, normaliser, finisher
 (T1-T5).
 
-Design: text is cut into *lossless* pieces with one ``regexp_extract_all`` (the
-pieces concatenate back to the input), exploded with their position, and the
-character offset of each piece is the running sum of the lengths before it::
-
-    begin = sum(length(piece)) over (partition by doc order by pos) - length(piece)
-
-The window is partitioned by document.  Callers that chain several of these
-operators should first ``by_document`` the input: the documents (one row each)
-are then hash-partitioned once, and every later window, group-by or
-broadcast join keyed on the document id re-uses that partitioning instead of
-shuffling the much larger token rows.  A document is a single input row, so
-the largest window partition is bounded by the largest document.
+Design: text is cut into *contiguous* pieces with one regex pass and
+exploded with their position; a piece's character offset is the running sum
+of the lengths before it::
+
+    end = base + sum(length(piece)) over (partition by doc, sentence order by pos) - 1
+
+Sentences are the pieces between break marks (lossless, then trimmed).
+Tokens are matches of ``\\s*(?:token)``: each piece carries the whitespace
+in front of its token, so the pieces are contiguous, no whitespace rows are
+exploded, and ``pos`` (the explode position) is the token index.
+
+The windows are partitioned by document.  Callers that chain several of
+these operators should first ``by_document`` the input: the documents (one
+row each) are then hash-partitioned once, and every later window, group-by or
+co-partitioned join keyed on the document id re-uses that partitioning
+instead of shuffling the much larger token rows.  A document is a single
+input row, so the largest window partition is bounded by the largest
+document.
 """
 
 from __future__ import annotations
