@@ -24,7 +24,9 @@ def lookup_join(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str
     the join is salted: each big-side row gets ``pmod(xxhash64(salt_by), salts)``
     (deterministic, so a recomputed task sees the same salt) and the lookup
     rows are repeated once per salt, so a hot key (a frequent token) is split
-    over ``salts`` tasks instead of landing in one.
+    over ``salts`` tasks instead of landing in one.  The price is ``salts``
+    copies of the lookup in the shuffle, small next to the row side (tokens);
+    AQE's skew-join splitting stays on as a second, runtime safeguard.
     """
     if is_small(lookup, max_broadcast_rows):
         return big.join(F.broadcast(lookup), big[big_key] == lookup[lookup_key], how)
