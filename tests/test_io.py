@@ -87,3 +87,11 @@ def test_stream_enriches_each_file_once(spark):
     assert got.count() == content.count()
     assert got.select("id").distinct().count() == content.count()
     assert "keywords" in got.columns and "sentences" in got.columns
+
+
+def test_command_line_job(spark):
+    from docweave.__main__ import main
+    out = os.path.join(tempfile.mkdtemp(prefix="dw-cli-"), "idx")
+    main(["enrich", "--tables", SF_SMALL, "--out", out, "--batch", "5"])
+    rows = spark.read.json(out)
+    assert rows.count() == 5 and {"sentences", "entities", "keywords", "source"} <= set(rows.columns)
