@@ -112,3 +112,20 @@ def entity_table(chunks: DataFrame, id_col: str = "id") -> DataFrame:
         F.col("begin").cast("int").alias("start_pos"),
         entity_id(F.col(id_col), F.col("entity"), F.col("begin")).alias("id"),
     )
+
+
+def entity_table_from_annotations(df: DataFrame, col: str, id_col: str) -> DataFrame:
+    """The entity table from a nested chunk-annotation column: explode the
+    chunks (documents without chunks drop), read ``metadata['entity']`` and
+    ``metadata['sentence']`` (``try_cast``: a malformed value becomes NULL
+    under ANSI instead of failing), take ``start_pos`` from ``begin`` (chunks
+    carry no ``start`` key), and build ``docId-type-begin`` ids."""
+    e = df.select(F.col(id_col), F.explode(col).alias("__c"))
+    meta = F.col("__c.metadata")
+    return e.select(
+        F.col(id_col).cast("bigint").alias("docId"),
+        F.col("__c.result").cast("string").alias("entity"),
+        meta.getItem("entity").alias("entity_type"),
+        F.expr("try_cast(__c.metadata['sentence'] as int)").alias("sentence_num"),
+        F.col("__c.begin").cast("int").alias("start_pos"),
+        entity_id(F.col(id_col), meta.getItem("entity"), F.col("__c.begin")).alias("id"))

@@ -120,3 +120,8 @@ def q_entity_chunks_relative(spark, sf):
     tagged = entities.tag_from_spans(segment.tokenize(d, "doc_id", "text", scope="sentence"),
                                      entities.rule_spans(d, "doc_id", "text"), "doc_id")
     return entities.entity_chunks(tagged, d, "doc_id", "text", preserve_position=False)
+
+
+@query("entity_table_nested", f"select * from {_TABLE}")
+def q_entity_table_nested(spark, sf):
+    return reshape.entity_table_from_annotations(_chunk_annotations(spark, sf), "ner_chunk", "doc_id")
