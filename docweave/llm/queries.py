@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import op2_warc, op4_tokens, op7_packing, op9_mixing
+from docweave.llm import op1_quality, op2_warc, op4_tokens, op5_outliers, op7_packing, op9_mixing
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -13,6 +13,17 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(doc_id: str = "doc_id"):
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1
+
+
+def op1_rff_quality(spark, sf_dir):
+    scores = op1_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                         learn=~held_out())
+    return scores.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_warc_revisits(spark, sf_dir):
     path = Scratch(spark, "warc").path("archives")
     op2_warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -37,6 +48,10 @@ def op4_token_parquet(spark, sf_dir):
             .select("doc_id", "start", F.col("n_ids").alias("n_tokens"), "ids_crc32"))
 
 
+def op5_mcd_outliers(spark, sf_dir):
+    return op5_outliers.quality_verdicts(table(spark, sf_dir, "documents")).drop("d2")
+
+
 def op7_window_packing(spark, sf_dir):
     return op7_packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, end_id=0)
 
@@ -70,8 +85,10 @@ from d join t on d.source is not distinct from t.source"""
 
 
 QUERIES = {
+    "op1_rff_quality": op1_rff_quality,
     "op2_warc_revisits": op2_warc_revisits,
     "op4_token_parquet": op4_token_parquet,
+    "op5_mcd_outliers": op5_mcd_outliers,
     "op7_window_packing": op7_window_packing,
     "op9_source_mixing": op9_source_mixing,
 }
