@@ -6,8 +6,10 @@ import contextlib
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.session import checkpoint_dir
 
@@ -75,3 +77,17 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
 
 def chunk_count(total_bytes: int, per_chunk: int) -> int:
     return max(1, -(-total_bytes // per_chunk))
+
+
+def from_text(df: DataFrame, text_col: str, keep: tuple[str, ...], added: str, fn) -> DataFrame:
+    """The columns ``keep`` unchanged, and those of the DDL string ``added``,
+    which ``fn`` returns as Arrow arrays for a list of texts (None if null)."""
+    schema = T.StructType([df.schema[c] for c in keep] + list(T._parse_datatype_string(added)))
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *fn(texts)], names)
+
+    return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)

@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import textstats
-from docweave.llm.common import Scratch
+from docweave.llm.common import Scratch, from_text
 
 COMPONENTS = 192
 #: Width of the kernel in standardised units; ridge weight per labelled row.
@@ -47,13 +48,11 @@ def fourier(x: np.ndarray, mean: np.ndarray, sd: np.ndarray, w: np.ndarray, b: n
 
 
 def document_features(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"],
-                                "x": [textstats.features(textstats.text_stats(t)) for t in batch["__text"]]})
+    def run(texts):
+        return [pa.array([textstats.features(textstats.text_stats(t)) for t in texts], pa.list_(pa.float64()))]
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text")) \
-        .mapInPandas(run, "doc_id long, x array<double>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__body"))
+    return from_text(rows, "__body", ("doc_id",), "x array<double>", run)
 
 
 def normal_equations(rows: DataFrame, transform) -> tuple[np.ndarray, np.ndarray, float]:

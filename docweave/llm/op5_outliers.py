@@ -19,12 +19,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.llm import textstats
-from docweave.llm.common import Scratch
+from docweave.llm.common import Scratch, from_text
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Share of a group's rows that the estimate rests on, and number of steps.
@@ -91,20 +92,14 @@ CONSISTENCY = H / chi2_cdf(chi2_upper(1 - H, P), P + 2)
 
 def document_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """keep columns, base counts, base_failed and the feature vector x."""
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-                       + [f"{c} long" for c in BASE] + ["base_failed boolean", "x array<double>"])
+    def run(texts):
+        found = [textstats.text_stats(t) for t in texts]
+        return [*(pa.array([getattr(s, c) for s in found], pa.int64()) for c in BASE),
+                pa.array([s.base_failed for s in found], pa.bool_()),
+                pa.array([textstats.features(s) for s in found], pa.list_(pa.float64()))]
 
-    def run(batches):
-        for batch in batches:
-            found = [textstats.text_stats(t) for t in batch["__text"]]
-            out = batch.drop(columns="__text")
-            for c in BASE:
-                out[c] = [getattr(s, c) for s in found]
-            out["base_failed"] = [s.base_failed for s in found]
-            out["x"] = [textstats.features(s) for s in found]
-            yield out
-
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInPandas(run, schema)
+    added = ", ".join([*(f"{c} long" for c in BASE), "base_failed boolean", "x array<double>"])
+    return from_text(docs, text_col, keep, added, run)
 
 
 def _with_estimates(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
@@ -125,20 +120,19 @@ def _pooled(rows: DataFrame) -> DataFrame:
 def _distances(rows: DataFrame) -> DataFrame:
     """Replaces the columns mu and inverse by the squared distance d2."""
     kept = [f for f in rows.schema if f.name not in ("mu", "inverse")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["d2 double"])
+    schema = T.StructType([*kept, T.StructField("d2", T.DoubleType())])
+
+    def vectors(batch, name, width):
+        return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
     def run(batches):
         for batch in batches:
-            out = batch.drop(columns=["mu", "inverse"])
-            if len(batch):
-                d = np.stack(batch["x"])[:, INDEX] - np.stack(batch["mu"])
-                m = np.stack(batch["inverse"]).reshape(-1, P, P)
-                out["d2"] = np.einsum("ni,nij,nj->n", d, m, d)
-            else:
-                out["d2"] = pd.Series(dtype=float)
-            yield out
+            d = vectors(batch, "x", len(textstats.FEATURES))[:, INDEX] - vectors(batch, "mu", P)
+            m = vectors(batch, "inverse", P * P).reshape(-1, P, P)
+            d2 = np.einsum("ni,nij,nj->n", d, m, d)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(d2)], schema.names)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _start(rows: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import op1_quality, op2_warc, op4_tokens, op5_outliers, op7_packing, op9_mixing
+from docweave.llm import op1_quality, op2_warc, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -56,6 +56,10 @@ def op7_window_packing(spark, sf_dir):
     return op7_packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, end_id=0)
 
 
+def op8_bootstrap_pii(spark, sf_dir):
+    return op8_pii.digest_columns(op8_pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_source_mixing(spark, sf_dir):
     return op9_mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -90,6 +94,7 @@ QUERIES = {
     "op4_token_parquet": op4_token_parquet,
     "op5_mcd_outliers": op5_mcd_outliers,
     "op7_window_packing": op7_window_packing,
+    "op8_bootstrap_pii": op8_bootstrap_pii,
     "op9_source_mixing": op9_source_mixing,
 }
 ORACLES = {
