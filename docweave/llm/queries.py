@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import op1_quality, op2_warc, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing
+from docweave.llm import op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -41,6 +41,11 @@ select page_id, payload_bytes, payload_digest,
 from g"""
 
 
+def op3_parity_join(spark, sf_dir):
+    return op3_jaccard.near_duplicate_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op4_token_parquet(spark, sf_dir):
     path = Scratch(spark, "tokens").path("ids")
     op4_tokens.write_tokens(table(spark, sf_dir, "documents"), path, WORD_VOCABULARY, end_id=2)
@@ -91,6 +96,7 @@ from d join t on d.source is not distinct from t.source"""
 QUERIES = {
     "op1_rff_quality": op1_rff_quality,
     "op2_warc_revisits": op2_warc_revisits,
+    "op3_parity_join": op3_parity_join,
     "op4_token_parquet": op4_token_parquet,
     "op5_mcd_outliers": op5_mcd_outliers,
     "op7_window_packing": op7_window_packing,
