@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing
+from docweave.llm import op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing, op10_suffix
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -93,6 +93,10 @@ select d.doc_id, cast(d.size as bigint) as size, t.source_size, t.target,
 from d join t on d.source is not distinct from t.source"""
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    return op10_suffix.repeated_bytes(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
+
+
 QUERIES = {
     "op1_rff_quality": op1_rff_quality,
     "op2_warc_revisits": op2_warc_revisits,
@@ -102,6 +106,7 @@ QUERIES = {
     "op7_window_packing": op7_window_packing,
     "op8_bootstrap_pii": op8_bootstrap_pii,
     "op9_source_mixing": op9_source_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLES = {
     "op2_warc_revisits": OP2_SQL,
