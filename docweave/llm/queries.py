@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docweave.llm import op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing, op10_suffix
+from docweave.llm import (op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op6_nndescent,
+                          op7_packing, op8_pii, op9_mixing, op10_suffix)
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -57,6 +58,10 @@ def op5_mcd_outliers(spark, sf_dir):
     return op5_outliers.quality_verdicts(table(spark, sf_dir, "documents")).drop("d2")
 
 
+def op6_nn_descent(spark, sf_dir):
+    return op6_nndescent.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op7_window_packing(spark, sf_dir):
     return op7_packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, end_id=0)
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op3_parity_join": op3_parity_join,
     "op4_token_parquet": op4_token_parquet,
     "op5_mcd_outliers": op5_mcd_outliers,
+    "op6_nn_descent": op6_nn_descent,
     "op7_window_packing": op7_window_packing,
     "op8_bootstrap_pii": op8_bootstrap_pii,
     "op9_source_mixing": op9_source_mixing,
