@@ -48,7 +48,7 @@ KEYS_PER_BUCKET = 1 << 20
 SINGLE = 7
 SKETCH_BITS = 1024
 #: Rounds that compare each bucket with one of its documents.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 def band_of(n: int) -> int:
@@ -77,9 +77,17 @@ def segment_keys(hashes: np.ndarray, band: int) -> np.ndarray:
     return mix(keys ^ U(band + 1))
 
 
-def parity_sketch(hashes: np.ndarray) -> bytes:
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity bits as 64-bit words."""
     bits = np.bincount((hashes & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(bool)).tobytes()
+    return np.packbits(bits.astype(bool)).view(np.int64)
+
+
+def may_link(a: str = "_a", b: str = "_b"):
+    """Sizes and the sketches' Hamming distance leave a link possible."""
+    n_a, n_b, x, y = (F.col(c + s) for c in ("n", "sketch") for s in (a, b))
+    far = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return (4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b)) & (7 * far <= n_a + n_b)
 
 
 def fingerprints(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -169,7 +177,7 @@ def offers(docs: DataFrame, chosen: DataFrame, classes: DataFrame, buckets: int)
     another document has: the rarest segments, as many as pigeonhole needs."""
     def choose(doc_rows: pa.Table, other: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
-                            ("sketch", pa.binary()), ("hashes", pa.binary())])
+                            ("sketch", pa.list_(pa.int64())), ("hashes", pa.binary())])
         chosen_rows = other.filter(pa.compute.is_valid(other["doc_id"]))
         blocks = other.filter(pa.compute.is_valid(other["bucket"])).sort_by("bucket")
         if not doc_rows.num_rows or not blocks.num_rows:
@@ -195,30 +203,21 @@ def offers(docs: DataFrame, chosen: DataFrame, classes: DataFrame, buckets: int)
         return pa.table([
             pa.array([ids[d] for d in kept], pa.int64()), pa.array([len(sets[d]) for d in kept], pa.int64()),
             pa.array([keys[cuts[d]:cuts[d + 1]] for d in kept], pa.list_(pa.int64())),
-            pa.array([parity_sketch(sets[d]) for d in kept], pa.binary()),
+            pa.array([parity_sketch(sets[d]) for d in kept], pa.list_(pa.int64())),
             pa.array([sets[d].tobytes() for d in kept], pa.binary())], schema=schema)
 
     other = chosen.select("chunk", "doc_id", F.lit(None).cast("int").alias("bucket"),
                           F.lit(None).cast("binary").alias("classes")).unionByName(
         classes.select("chunk", F.lit(None).cast("long").alias("doc_id"), "bucket", "classes"))
     return docs.groupBy("chunk").cogroup(other.groupBy("chunk")).applyInArrow(
-        choose, "doc_id long, n long, keys array<long>, sketch binary, hashes binary")
+        choose, "doc_id long, n long, keys array<long>, sketch array<long>, hashes binary")
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     narrow = sets.select("doc_id", "n", "sketch")
     side = lambda s, x: s.select(*[F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in s.columns])
-    near = (pairs.join(side(narrow, "a"), "a").join(side(narrow, "b"), "b")
-            .filter("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"))
-
-    def by_sketch(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-                    for c in ("sketch_a", "sketch_b"))
-            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array(7 * far <= size))
+    close = pairs.join(side(narrow, "a"), "a").join(side(narrow, "b"), "b").filter(may_link()).select("a", "b")
 
     def by_set(batches):
         for batch in batches:
@@ -229,7 +228,6 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    close = near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(by_sketch, "a long, b long")
     wide = sets.select("doc_id", "hashes")
     return close.join(side(wide, "b"), "b").join(side(wide, "a"), "a") \
         .select("a", "b", "hashes_a", "hashes_b").mapInArrow(by_set, "a long, b long")
@@ -260,10 +258,13 @@ def link_classes(sets: DataFrame, scratch: Scratch) -> DataFrame:
             pairs = rows.join(open_keys.select("key", "anchor"), "key").filter("root <> anchor.root") \
                 .select(F.col("doc").alias("a"), F.col("anchor.doc").alias("b"))
         else:
-            left = rows.join(open_keys.select("key"), "key")
-            right = left.select("key", F.col("doc").alias("other"), F.col("root").alias("other_root"))
-            pairs = left.join(right, "key").filter("doc < other and root <> other_root") \
-                .select(F.col("doc").alias("a"), F.col("other").alias("b"))
+            # what is left are pairs of different components; size and sketch
+            # decide inside the join which of them are ever emitted
+            narrow = sets.select(F.col("doc_id").alias("doc"), "n", "sketch")
+            left = rows.join(open_keys.select("key"), "key").join(narrow, "doc")
+            side = lambda x: left.select("key", *[F.col(c).alias(c + x) for c in ("doc", "root", "n", "sketch")])
+            pairs = side("_a").join(side("_b"), "key").filter("doc_a < doc_b and root_a <> root_b") \
+                .filter(may_link()).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
         new = scratch.save(_untested(pairs, tested), f"pairs{k}")
         scratch.drop(f"rooted{k}")
         if new.isEmpty():
