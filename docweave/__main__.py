@@ -36,15 +36,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
+    given = lambda value, default: default if value is None else value
     spark = get_spark(a.master, f"docweave-{a.job}")
     content, source = tb.content(spark, a.tables), tb.source(spark, a.tables)
     if a.job == "enrich":
-        out = jobs.enrich_batch(content, source, a.min_size or 1000, a.max_size or 100000, a.batch, a.partitions)
+        out = jobs.enrich_batch(content, source, given(a.min_size, 1000), given(a.max_size, 100000), a.batch, a.partitions)
     elif a.job == "entities":
-        out = jobs.entity_job(content, a.min_size or 1000, a.max_size or 10000, partitions=a.partitions)["table"]
+        out = jobs.entity_job(content, given(a.min_size, 1000), given(a.max_size, 10000), partitions=a.partitions)["table"]
     elif a.job == "copy":
         out = jobs.incremental_copy(content, source, tb.ledger(spark, a.tables),
-                                    a.min_size or 100, a.max_size or 1000000, a.batch)
+                                    given(a.min_size, 100), given(a.max_size, 1000000), a.batch)
     else:
         docs = tb.table(spark, a.tables, "documents").select("doc_id", "text")
         out = jobs.keyword_report(docs, "doc_id", "text", min_n=a.min_n, top=a.top)

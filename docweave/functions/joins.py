@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it has at most this many rows.  The
-# count is bounded (``limit(n + 1)``) so the check itself never scans more
-# than n + 1 rows of the lookup side.
+# A lookup side is broadcast only when it has at most this many rows (a stored
+# one is read no further than one row beyond) ...
 DEFAULT_BROADCAST_ROWS = 200_000
+# ... and at most this many bytes, measured on its rows as JSON text.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """One job over the lookup (all of it when it is computed): rows and bytes."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= max_rows and total <= max_bytes
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str, how: str = "left",

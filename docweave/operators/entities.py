@@ -16,8 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The entity rules, in priority order (earlier wins a tie).
 RULES = (
@@ -27,44 +29,87 @@ RULES = (
     ("KEY", r"[0-9a-f]{40}"),
     ("NAME", r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+"),
 )
+# Rules whose hits must not touch another letter or digit.
+BORDERED = ("IP", "CARD", "KEY")
+# The same language, scanned in linear time: a local part is tried once, at the
+# start of its run (or where the last hit ended), and never given back.
+LINEAR = {"EMAIL": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
+
+
+def keep_first(rows: DataFrame, part: Sequence[str], order: list, begin: str, end: str,
+               out_col: str = "__kept") -> DataFrame:
+    """Flag the matches that do not overlap an earlier *kept* one.
+
+    Rows are swept in ``order`` inside ``part`` (both set up by a window, so
+    nothing is shuffled that already lies right); only the end of the last kept
+    match is carried.  Rows with a NULL ``end`` are no match and not kept.
+    """
+    cols = rows.columns
+    schema = T.StructType([*rows.schema, T.StructField(out_col, T.BooleanType())])
+    start = F.row_number().over(Window.partitionBy(*part).orderBy(*order)) == 1
+
+    def sweep(batches):
+        last = -1
+        for batch in batches:
+            names = batch.schema.names
+            kept = [False] * batch.num_rows
+            firsts = batch.column(names.index("__first")).to_pylist()
+            begins = batch.column(names.index(begin)).to_pylist()
+            for i, (first, a, z) in enumerate(zip(firsts, begins, batch.column(names.index(end)).to_pylist())):
+                if first:
+                    last = -1
+                if z is not None and a > last:
+                    kept[i], last = True, z
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(names.index(c)) for c in cols), pa.array(kept, pa.bool_())], [*cols, out_col])
+
+    return rows.withColumn("__first", start).mapInArrow(sweep, schema)
 
 
 def rule_spans(docs: DataFrame, id_col: str, text_col: str,
                rules: Sequence[tuple[str, str]] = RULES, resolve: bool = True) -> DataFrame:
     """Regex hits as spans (id, begin, end, result, entity, priority).
 
-    With ``resolve``, a hit that starts inside an earlier-starting hit (ties:
-    longer first, then rule priority) is dropped, so kept spans never overlap.
+    Hits of the ``BORDERED`` rules count only when no letter or digit touches
+    them; an IP's parts are at most 255.  With ``resolve``, hits are taken from
+    the left (ties: longer first, then rule priority), each unless it overlaps
+    one taken before.
     """
+    java = {name: LINEAR.get(name, pattern) for name, pattern in rules}
     hits = docs.select(F.col(id_col), F.col(text_col), *[
-        F.regexp_extract_all(F.col(text_col), F.lit(pattern), 0).alias(f"__h{prio}")
-        for prio, (_, pattern) in enumerate(rules)])
+        F.regexp_extract_all(F.col(text_col), F.lit(java[name]), 0).alias(f"__h{prio}")
+        for prio, (name, _) in enumerate(rules)])
     # The gaps (a second regex pass) are only computed for rules that hit.
     per_rule = F.array(*[
         F.struct(F.lit(name).alias("entity"), F.lit(prio).alias("priority"),
-                 F.when(F.size(f"__h{prio}") > 0, F.split(F.col(text_col), pattern)).alias("gaps"),
+                 F.when(F.size(f"__h{prio}") > 0, F.split(F.col(text_col), java[name])).alias("gaps"),
                  F.col(f"__h{prio}").alias("hits"))
-        for prio, (name, pattern) in enumerate(rules)])
+        for prio, (name, _) in enumerate(rules)])
     r = hits.select(F.col(id_col), F.explode(per_rule).alias("r")).select(id_col, "r.*")
     r = r.filter(F.size("hits") > 0)
-    z = r.select(id_col, "entity", "priority",
-                 F.posexplode(F.arrays_zip(F.slice("gaps", 1, F.size("hits")).alias("g"),
-                                           F.col("hits").alias("h"))).alias("i", "z"))
+    # each hit with the gap before it and the character on either side
+    parts = F.transform("hits", lambda h, i: F.struct(
+        F.get("gaps", i).alias("g"), h.alias("h"),
+        F.right(F.concat(F.coalesce(F.get("hits", i - 1), F.lit("")), F.get("gaps", i)), F.lit(1)).alias("before"),
+        F.left(F.concat(F.get("gaps", i + 1), F.coalesce(F.get("hits", i + 1), F.lit(""))), F.lit(1)).alias("after")))
+    z = r.select(id_col, "entity", "priority", F.posexplode(parts).alias("i", "z"))
     w = (Window.partitionBy(id_col, "entity").orderBy("i")
          .rowsBetween(Window.unboundedPreceding, 0))
     hit = F.col("z.h")
     spans = z.select(
-        id_col, "entity", "priority",
+        id_col, "entity", "priority", "z.before", "z.after",
         (F.sum(F.length("z.g") + F.length(hit)).over(w) - F.length(hit)).cast("int").alias("begin"),
         hit.alias("result"))
-    spans = spans.withColumn("end", (F.col("begin") + F.length("result") - 1).cast("int"))
+    touched = F.col("before").rlike("[0-9A-Za-z]") | F.col("after").rlike("[0-9A-Za-z]")
+    octets = F.transform(F.split("result", r"\."), lambda x: x.cast("int"))
+    ok = (~F.col("entity").isin(*BORDERED) | ~touched) & (
+        (F.col("entity") != "IP") | F.forall(octets, lambda x: x <= 255))
+    spans = spans.filter(ok).withColumn("end", (F.col("begin") + F.length("result") - 1).cast("int"))
+    spans = spans.select(id_col, "begin", "end", "result", "entity", "priority")
     if resolve:
-        order = Window.partitionBy(id_col).orderBy(
-            "begin", F.col("end").desc(), "priority").rowsBetween(Window.unboundedPreceding, -1)
-        spans = (spans.withColumn("__prev_end", F.max("end").over(order))
-                 .filter(F.col("__prev_end").isNull() | (F.col("__prev_end") < F.col("begin")))
-                 .drop("__prev_end"))
-    return spans.select(id_col, "begin", "end", "result", "entity", "priority")
+        spans = keep_first(spans, [id_col], [F.col("begin"), F.col("end").desc(), F.col("priority")],
+                           "begin", "end").filter("__kept").drop("__kept")
+    return spans
 
 
 def assign_sentences(spans: DataFrame, sentences: DataFrame, id_col: str) -> DataFrame:

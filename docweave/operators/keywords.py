@@ -13,7 +13,7 @@ and lower-cased word term t (a token with a letter):
     S(t)   = rel * pos / (case + freq / rel + spread / rel)
 
 Candidates are 1..max_n adjacent word tokens of one sentence (no punctuation
-between them) without stopwords, scored ``prod S / (TF(kw) * (1 + sum S))``;
+between them) that neither start nor end with a stopword, scored ``prod S / (TF(kw) * (1 + sum S))``;
 lower is better.  Scores ``< threshold`` are kept and the best ``k`` per
 document returned (ties by keyword).
 
@@ -52,7 +52,8 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
     stop = sorted(set(stopwords))
     # Word tokens only; token positions still count punctuation, so two words
     # are neighbours exactly when their positions differ by one.
-    w = (tokens.select(id_col, "sentence", "pos", "result")
+    w = (tokens.select(id_col, "sentence", "pos", "result",
+                       (F.max("sentence").over(Window.partitionBy(id_col)) + 1).alias("n_sent"))
          .filter(F.col("result").rlike(r"\p{L}"))
          .withColumn("term", F.lower("result")))
     ws = Window.partitionBy(id_col, "sentence").orderBy("pos")
@@ -98,8 +99,7 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
     rep_tf = F.when(F.col("__rep") & ~F.col("__stop"), F.col("tf"))
     w = w.select("*", F.avg(rep_tf).over(wd).alias("tf_mean"),
                  F.stddev_pop(rep_tf).over(wd).alias("tf_std"),
-                 F.max(rep_tf).over(wd).alias("tf_max"),
-                 (F.max("sentence").over(wd) + 1).alias("n_sent"))
+                 F.max(rep_tf).over(wd).alias("tf_max"))
     dl = F.when(F.col("dl_c") > 0, F.col("dl_n") / F.col("dl_c")).otherwise(F.lit(0.0))
     dr = F.when(F.col("dr_c") > 0, F.col("dr_n") / F.col("dr_c")).otherwise(F.lit(0.0))
     tf_max = F.coalesce(F.col("tf_max"), F.col("tf"))
@@ -120,7 +120,9 @@ def keywords(tokens: DataFrame, id_col: str, min_n: int = 1, max_n: int = 3, k:
     for n in range(min_n, max_n + 1):
         ok = ~F.col("__stop")
         for j in range(1, n):
-            ok = ok & (F.col(f"__p{j}") == F.col("pos") + j) & ~F.col(f"__x{j}")
+            ok = ok & (F.col(f"__p{j}") == F.col("pos") + j)
+        if n > 1:
+            ok = ok & ~F.col(f"__x{n - 1}")
         terms = [F.col("term")] + [F.col(f"__t{j}") for j in range(1, n)]
         scores = [F.col("s")] + [F.col(f"__s{j}") for j in range(1, n)]
         prod, tot = scores[0], scores[0]

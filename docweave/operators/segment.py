@@ -36,6 +36,9 @@ SENTENCE_BREAK = r"([.!?]+\s+|\n+)"
 ABBREVIATIONS = ("Mr", "Mrs", "Dr", "St")
 CONTEXT_CHARS = "(),.?!"
 MARK = "\u0001"
+# Text that holds the mark itself is written with these while it is cut; they
+# are neither letters nor blanks, as the characters they stand for.
+ESCAPES = (("\u0002", "\u00022"), (MARK, "\u00021"))
 
 
 def by_document(df: DataFrame, id_col: str, partitions: int | None = None,
@@ -92,11 +95,18 @@ def split_sentences(df: DataFrame, id_col: str, text_col: str,
     each sentence (offsets follow), blank pieces are dropped and sentences are
     numbered from 0 in text order.
     """
-    marked = F.regexp_replace(F.col(text_col), SENTENCE_BREAK, "$1" + MARK)
+    marked = F.col(text_col)
+    for char, code in ESCAPES:
+        marked = F.replace(marked, F.lit(char), F.lit(code))
+    marked = F.regexp_replace(marked, SENTENCE_BREAK, "$1" + MARK)
     if abbreviations:
         abbr = "|".join(abbreviations)
         marked = F.regexp_replace(marked, rf"(^|[^\p{{L}}])({abbr})\.(\s+){MARK}", "$1$2.$3")
     pieces = df.select(F.col(id_col), F.posexplode(F.split(marked, MARK)).alias("pos", "piece"))
+    piece = F.col("piece")
+    for char, code in reversed(ESCAPES):
+        piece = F.replace(piece, F.lit(code), F.lit(char))
+    pieces = pieces.withColumn("piece", piece)
     pieces = _offsets(pieces, [id_col])
     lead = F.length(F.regexp_extract("piece", r"^\s*", 0))
     result = F.regexp_replace("piece", r"^\s+|\s+$", "")

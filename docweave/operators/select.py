@@ -13,7 +13,7 @@ from docweave.functions.joins import DEFAULT_BROADCAST_ROWS, lookup_join
 
 def with_source(content: DataFrame, source: DataFrame, key: str = "source_id",
                 source_key: str = "id", label: str = "label", out: str = "source",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, id_col: str = "id") -> DataFrame:
     """``select c.*, src.label as source from content c left join source src``.
 
     Unmatched content rows stay with a NULL label.  The lookup side is
@@ -21,7 +21,8 @@ def with_source(content: DataFrame, source: DataFrame, key: str = "source_id",
     join is salted, since one source may hold a large share of the content.
     """
     src = source.select(F.col(source_key).alias("__src_id"), F.col(label).alias(out))
-    return lookup_join(content, src, key, "__src_id", "left",
+    salt_by = [id_col] if id_col in content.columns else None
+    return lookup_join(content, src, key, "__src_id", "left", salt_by=salt_by,
                        max_broadcast_rows=max_broadcast_rows).drop("__src_id")
 
 
@@ -43,7 +44,7 @@ def filter_unindexed(df: DataFrame, col: str = "index_date") -> DataFrame:
 def unindexed_by_ledger(df: DataFrame, ledger: DataFrame, id_col: str = "id",
                         ledger_id: str = "id") -> DataFrame:
     """Immutable-source form of the same predicate: anti join on done ids."""
-    done = ledger.select(F.col(ledger_id).alias("__done")).distinct()
+    done = ledger.select(F.col(ledger_id).alias("__done"))
     return df.join(done, df[id_col] == done["__done"], "left_anti")
 
 
@@ -85,23 +86,20 @@ def stamp(df: DataFrame, ts: _dt.datetime | str | Column, out: str = "timestamp"
 
 
 def newest_rows(df: DataFrame, ts: str, n: int | None, key: str = "id",
-                heavy: tuple[str, ...] = ("body_text",), max_literal_ids: int = 10000) -> DataFrame:
+                heavy: tuple[str, ...] = ("body_text",)) -> DataFrame:
     """The newest-N batch with its wide columns, without reading them for
     every row.
 
     ``latest`` on a frame with the text makes the scan read the text column
-    of the whole table to keep n rows.  Here the ids are chosen on a narrow
-    scan (no ``heavy`` columns); the wide rows are then fetched by an id
-    filter that reaches the Parquet scan (row-group skipping on ``key``).  The
-    ids brought to the driver are bounded by ``n``; above ``max_literal_ids``
-    a broadcast semi-join on the (n-row) id set is used instead.
-    Returns the same rows as ``latest``, unordered.
+    of the whole table to keep n rows.  Here the (key, time) pairs are chosen on
+    a narrow scan (no ``heavy`` columns) and joined back to the wide rows; the
+    planner broadcasts them when they are few and shuffles them otherwise.
+    Nothing is collected.  Returns the same rows as ``latest`` when keys do not
+    repeat (a key that does is returned with all its rows of that time),
+    unordered.
     """
     if n is None:
         return df
     light = df.drop(*[c for c in heavy if c in df.columns])
-    top = latest(light, ts, n, key).select(key)
-    if n <= max_literal_ids:
-        ids = [r[0] for r in top.collect()]
-        return df.filter(F.col(key).isin(ids))
-    return df.join(F.broadcast(top), key, "left_semi")
+    top = latest(light, ts, n, key).select(F.col(key).alias("__key"), F.col(ts).alias("__ts"))
+    return df.join(top, F.col(key).eqNullSafe(F.col("__key")) & F.col(ts).eqNullSafe(F.col("__ts")), "left_semi")

@@ -13,14 +13,14 @@ from docweave.plans.registry import query
 from docweave.sources import tables as tb
 
 _DOC_TOKS = sql.tokens("documents")
-_MSGS = "(select conv_id * 100000 + turn as msg_id, text from conversations)"
+_MSGS = "(select conv_id || '-' || turn as msg_id, text from conversations)"
 _MSG_TOKS = sql.tokens(_MSGS, "msg_id")
 
 
 def messages(spark, sf):
     c = tb.table(spark, sf, "conversations")
     return segment.by_document(
-        c.select((F.col("conv_id") * 100000 + F.col("turn")).alias("msg_id"), "text"), "msg_id")
+        c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("msg_id"), "text"), "msg_id")
 
 
 def lang_tokens(spark, sf):
@@ -85,15 +85,11 @@ def _gaz_sql(toks: str) -> str:
                coalesce(d3.type, d2.type, d1.type) as typ
     from g left join {_DICT} d1 on g.g1 = d1.phrase left join {_DICT} d2 on g.g2 = d2.phrase
     left join {_DICT} d3 on g.g3 = d3.phrase),
-  c as (select *, max(pos + len - 1) over (partition by doc_id, sentence order by pos
-                   rows between unbounded preceding and 1 preceding) as cover from m),
-  k as (select *, case when len is not null and (cover is null or cover < pos) then pos + len - 1 end as kend,
-               case when len is not null and (cover is null or cover < pos) then typ end as ktype from c),
-  o as (select *, max(kend) over wr as open_end, last_value(ktype ignore nulls) over wr as open_type
-    from k window wr as (partition by doc_id, sentence order by pos rows between unbounded preceding and current row))
-  select doc_id, sentence, pos, begin, "end", result,
-    case when kend is not null then 'B-' || ktype when open_end >= pos then 'I-' || open_type else 'O' end as tag
-  from o)"""
+  f as (select doc_id, sentence, pos as begin, pos + len - 1 as e_, typ from m where len is not null),
+  k as {sql.greedy("f", "doc_id, sentence", "begin", "doc_id, sentence, begin, e_, typ")}
+  select m.doc_id, m.sentence, m.pos, m.begin, m."end", m.result,
+    case when k.typ is null then 'O' when k.begin = m.pos then 'B-' || k.typ else 'I-' || k.typ end as tag
+  from m left join k on k.doc_id = m.doc_id and k.sentence = m.sentence and m.pos between k.begin and k.e_)"""
 
 
 @query("gazetteer_tags", f"""

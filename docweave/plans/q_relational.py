@@ -61,6 +61,15 @@ def q_any_batch(spark, sf):
     return select.any_batch(tb.content(spark, sf).select("id", "title"), 3)
 
 
+@query("any_batch_rows", "select least(count(*), 3) as n, least(count(*), 3) as in_table from documents")
+def q_any_batch_rows(spark, sf):
+    """L2 checked: whichever rows came, they are as many as asked for and from the table."""
+    content = tb.content(spark, sf).select("id", "title")
+    batch = select.any_batch(content, 3)
+    found = batch.join(content.withColumnRenamed("title", "__t"), "id", "left")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count("__t").alias("in_table"))
+
+
 @query("project_columns", f"""
 select id, title, uri from {CONTENT} where structure_size > 100 and structure_size < 100000""")
 def q_project_columns(spark, sf):
@@ -173,7 +182,16 @@ def q_pi_lattice(spark, sf):
 
 @query("partition_spread", None)
 def q_partition_spread(spark, sf):
-    return stats.partition_sizes(stats.spread(tb.table(spark, sf, "documents").select("doc_id"), 8, "doc_id"))
+    return stats.partition_sizes(stats.spread(tb.table(spark, sf, "documents").select("doc_id"),
+                                              spark.sparkContext.defaultParallelism, "doc_id"))
+
+
+@query("partition_totals", "select count(*) as n, true as all_named from documents")
+def q_partition_totals(spark, sf):
+    """F14 checked: the partitions hold every row once, numbered below their count."""
+    n = spark.sparkContext.defaultParallelism
+    sizes = stats.partition_sizes(stats.spread(tb.table(spark, sf, "documents").select("doc_id"), n, "doc_id"))
+    return sizes.agg(F.sum("rows").alias("n"), (F.max("partition") < n).alias("all_named"))
 
 
 @query("regroup_lines", """

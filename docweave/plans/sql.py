@@ -55,25 +55,41 @@ def tokens(src: str, id_col: str = "doc_id", text: str = "text", scope: str = "d
   from o)"""
 
 
+def greedy(matches: str, part: str, order: str, cols: str) -> str:
+    """The rows of ``matches`` (with begin and e_) taken from the left, each
+    unless it overlaps the one taken before: a chain over "next row that begins
+    behind this one's end" from the first row of each ``part``."""
+    return f"""(with recursive m as (
+    select *, row_number() over (partition by {part} order by {order}) as rn from {matches}),
+  nx as (select a.*, (select min(b.rn) from m b where {' and '.join(f'b.{c.strip()} = a.{c.strip()}' for c in part.split(','))}
+                        and b.begin > a.e_) as next_rn from m a),
+  taken as (
+    select * from nx where rn = 1
+    union all
+    select nx.* from taken t join nx on {' and '.join(f'nx.{c.strip()} = t.{c.strip()}' for c in part.split(','))} and nx.rn = t.next_rn)
+  select {cols} from taken)"""
+
+
 def rule_spans(src: str, id_col: str = "doc_id", text: str = "text") -> str:
     """Resolved rule hits (id, begin, end, result, entity, priority) in DuckDB."""
     from docweave.operators.entities import RULES
     per_rule = " union all ".join(
-        f"select {id_col}, '{name}' as entity, {prio} as priority, "
+        f"select {id_col}, {text} as body, '{name}' as entity, {prio} as priority, "
         f"regexp_split_to_array({text}, '{pat}') as g, regexp_extract_all({text}, '{pat}') as m from {src}"
         for prio, (name, pat) in enumerate(RULES))
-    return f"""(with r as ({per_rule}),
-  e as (select {id_col}, entity, priority, unnest(m) as result, unnest(list_slice(g, 1, len(m))) as gap,
+    found = f"""(with r as ({per_rule}),
+  e as (select {id_col}, body, entity, priority, unnest(m) as result, unnest(list_slice(g, 1, len(m))) as gap,
                generate_subscripts(m, 1) as i from r where len(m) > 0),
-  o as (select {id_col}, entity, priority, result,
+  o as (select {id_col}, body, entity, priority, result,
           sum(length(gap) + length(result)) over (partition by {id_col}, entity order by i
-              rows between unbounded preceding and current row) - length(result) as begin from e),
-  k as (select *, begin + length(result) - 1 as e_,
-          max(begin + length(result) - 1) over (partition by {id_col} order by begin,
-              begin + length(result) - 1 desc, priority
-              rows between unbounded preceding and 1 preceding) as prev_end from o)
-  select {id_col}, cast(begin as integer) as begin, cast(e_ as integer) as "end", result, entity, priority
-  from k where prev_end is null or prev_end < begin)"""
+              rows between unbounded preceding and current row) - length(result) as begin from e)
+  select {id_col}, entity, priority, result, begin, begin + length(result) - 1 as e_ from o
+  where (entity not in ('IP', 'CARD', 'KEY')
+         or not regexp_matches(case when begin > 0 then substr(body, cast(begin as bigint), 1) else '' end
+                               || substr(body, cast(begin + length(result) + 1 as bigint), 1), '[0-9A-Za-z]'))
+    and (entity <> 'IP' or list_max(list_transform(string_split(result, '.'), lambda x: cast(x as integer))) <= 255))"""
+    return greedy(found, id_col, "begin, e_ desc, priority",
+                  f'{id_col}, cast(begin as integer) as begin, cast(e_ as integer) as "end", result, entity, priority')
 
 
 def spans_with_sentences(spans: str, sentences_: str, id_col: str = "doc_id") -> str:
@@ -146,7 +162,8 @@ def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int =
         f"lead(pos, {j}) over ws as p{j}, lead(stop, {j}) over ws as x{j}" for j in range(1, max_n))
     cands = []
     for n in range(min_n, max_n + 1):
-        ok = " and ".join(["not stop"] + [f"p{j} = pos + {j} and not x{j}" for j in range(1, n)])
+        ok = " and ".join(["not stop"] + [f"p{j} = pos + {j}" for j in range(1, n)]
+                          + ([f"not x{n - 1}"] if n > 1 else []))
         kw = " || ' ' || ".join(["term"] + [f"t{j}" for j in range(1, n)])
         prod = " * ".join(["s"] + [f"s{j}" for j in range(1, n)])
         tot = " + ".join(["s"] + [f"s{j}" for j in range(1, n)])
@@ -189,7 +206,7 @@ def keywords(tokens_: str, id_col: str = "doc_id", min_n: int = 1, max_n: int =
   ds as (select {id_col}, avg(tf) filter (where not stop) as tf_mean,
       stddev_pop(tf) filter (where not stop) as tf_std, max(tf) filter (where not stop) as tf_max
     from ts group by {id_col}),
-  ns as (select {id_col}, max(sentence) + 1 as n_sent from w group by {id_col}),
+  ns as (select {id_col}, count(distinct sentence) as n_sent from a group by {id_col}),
   r as (select ts.*, 1 + ((case when dl_c > 0 then dl_n / dl_c else 0.0 end)
              + (case when dr_c > 0 then dr_n / dr_c else 0.0 end)) * tf / coalesce(tf_max, tf) as rel,
       greatest(tf_cap, tf_acro) / (1 + ln(tf)) as case_,

@@ -45,11 +45,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared filesystem path set by the cluster
-    configuration; we only invent a local folder when nothing is set (tests,
-    local runs).
+    configuration; a folder of our own is made only for ``local[...]``
+    sessions that set none (tests), where driver and executors are one process.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="docweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -5,14 +5,12 @@ import pandas as pd
 from docweave.operators import entities, reshape
 
 
-def test_pivot_default_golden(spark):
-    rows = [("A", "X", "done"), ("A", "Y", "done"), ("A", "Z", "done"),
-            ("B", "Y", "done"), ("C", "X", "done"), ("C", "Y", "done")]
-    df = spark.createDataFrame(rows, "Company string, Type string, Status string")
-    out = reshape.pivot_default(df, "Company", "Type", "Status", "pending", ["X", "Y", "Z"])
+def test_pivot_default_fills_missing_pairs(spark):
+    rows = [("north", "spring", "sown"), ("north", "autumn", "cut"), ("south", "spring", "sown")]
+    df = spark.createDataFrame(rows, "field string, season string, state string")
+    out = reshape.pivot_default(df, "field", "season", "state", "fallow", ["autumn", "spring", "winter"])
     got = sorted(tuple(r) for r in out.collect())
-    assert got == [("A", "done", "done", "done"), ("B", "pending", "done", "pending"),
-                   ("C", "done", "done", "pending")]
+    assert got == [("north", "cut", "sown", "fallow"), ("south", "fallow", "sown", "fallow")]
 
 
 def test_pivot_default_numeric_fills_after_pivot(spark):
@@ -22,22 +20,19 @@ def test_pivot_default_numeric_fills_after_pivot(spark):
 
 
 def test_zip_rows_pads_and_drops(spark):
-    rows = [(1, "x", [0, 2, 5], [1, 2, 9]), (2, "y", [1, 3, 6], [2, 3, 10]),
-            (3, "z", [1, 2], [7]), (4, "w", [], []), (5, "v", None, [1])]
-    df = spark.createDataFrame(rows, "userId int, someString string, varA array<int>, varB array<int>")
-    out = reshape.zip_rows(df, ["userId"], ["varA", "varB"])
-    got = sorted(tuple(r) for r in out.collect())
-    assert got == [(1, 0, 0, 1), (1, 1, 2, 2), (1, 2, 5, 9), (2, 0, 1, 2), (2, 1, 3, 3), (2, 2, 6, 10),
-                   (3, 0, 1, 7), (3, 1, 2, None)]
+    rows = [(7, [4, 8], [40, 80]), (8, [5], [50, 51]), (9, [], []), (10, None, [1])]
+    df = spark.createDataFrame(rows, "k int, p array<int>, q array<int>")
+    got = sorted(tuple(r) for r in reshape.zip_rows(df, ["k"], ["p", "q"]).collect())
+    assert got == [(7, 0, 4, 40), (7, 1, 8, 80), (8, 0, 5, 50), (8, 1, None, 51)]
 
 
 def test_flat_map_pairs_and_fails_on_short(spark):
     from pyspark.sql import types as T
-    df = spark.createDataFrame([(1, [0, 2], [1, 2])], "k long, a array<long>, b array<long>")
+    df = spark.createDataFrame([(1, [6, 4], [16, 14])], "k long, a array<long>, b array<long>")
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("i", T.LongType()),
                            T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     out = reshape.flat_map(df, lambda p: reshape.pairwise(p, "k", "a", "b"), schema)
-    assert sorted(tuple(r) for r in out.collect()) == [(1, 0, 0, 1), (1, 1, 2, 2)]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 0, 6, 16), (1, 1, 4, 14)]
     with_short = pd.DataFrame({"k": [1], "a": [[1, 2]], "b": [[1]]})
     try:
         reshape.pairwise(with_short, "k", "a", "b")

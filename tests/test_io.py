@@ -51,16 +51,21 @@ def test_write_batched_groups_rows(spark):
     assert plan.agg(F.max("rows")).first()[0] <= 1000
 
 
-def test_conll_reader_skips_docstart_and_crlf(spark):
+@pytest.mark.parametrize("eol", ["\n", "\r\n"])
+def test_conll_reader_line_ends_and_docstart(spark, eol):
     d = tempfile.mkdtemp(prefix="dw-conll-")
-    text = ("-DOCSTART- -X- -X- O\r\n\r\nEU NNP B-NP B-ORG\r\nrejects VBZ B-VP O\r\n\r\n"
-            "Peter NNP B-NP B-PER\r\nBlackburn NNP I-NP I-PER\r\n")
-    open(os.path.join(d, "train.txt"), "w", newline="").write(text.replace("\r\n", "\n"))
-    rows = files.read_conll(spark, d).orderBy("sent_id", "tok_idx").collect()
-    assert [(r["token"], r["pos"], r["chunk"], r["label"]) for r in rows] == [
-        ("EU", "NNP", "B-NP", "B-ORG"), ("rejects", "VBZ", "B-VP", "O"),
-        ("Peter", "NNP", "B-NP", "B-PER"), ("Blackburn", "NNP", "I-NP", "I-PER")]
-    assert len({r["sent_id"] for r in rows}) == 2
+    lines = ["-DOCSTART- -X- -X- O", "", "EU NNP B-NP B-ORG", "rejects VBZ B-VP O", "",
+             "Peter NNP B-NP B-PER", "-DOCSTART- -X- -X- O", "Blackburn NNP I-NP I-PER", "", "", "x Y Z O"]
+    with open(os.path.join(d, "train.txt"), "w", newline="") as f:
+        f.write(eol.join(lines) + eol)
+    rows = files.read_conll(spark, d).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["sent_id"], {})[r["tok_idx"]] = (r["token"], r["pos"], r["chunk"], r["label"])
+    assert sorted([s[i] for i in sorted(s)] for s in got.values()) == [
+        [("Blackburn", "NNP", "I-NP", "I-PER")],
+        [("EU", "NNP", "B-NP", "B-ORG"), ("rejects", "VBZ", "B-VP", "O")],
+        [("Peter", "NNP", "B-NP", "B-PER")], [("x", "Y", "Z", "O")]]
 
 
 def test_jdbc_options():

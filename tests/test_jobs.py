@@ -27,7 +27,8 @@ def test_save_both_writes_two_views(spark):
     jobs.save_both(annotated, lambda a: a.drop("body_text"),
                    lambda a: a.select("id", F.explode("entities").alias("entity")), idx, tab)
     assert spark.read.json(os.path.join(out, "index")).count() == content.count()
-    assert spark.read.parquet(os.path.join(out, "table")).count() >= 0
+    entities = annotated.agg(F.sum(F.size("entities"))).first()[0]
+    assert entities > 0 and spark.read.parquet(os.path.join(out, "table")).count() == entities
 
 
 def test_resources_round_trip(spark):

@@ -45,18 +45,22 @@ def test_matches_oracle(spark, duck, name):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and "keywords" in df.columns
+    window = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("n_chars > 1000 and n_chars < 100000")
+    assert df.count() == window.count() > 0 and "keywords" in df.columns
 
 
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(o) >= len(q) - 6
+    library = [n for n in q if not n.startswith("op") and n != "pipeline"]
+    assert len([n for n in o if n in library]) >= len(library) - 3
 
 
 def test_every_query_builds(spark):
     """Each registered builder resolves its plan (analysis only for most)."""
     for name, fn in E.queries().items():
+        if name.startswith("op") or name == "pipeline":
+            continue  # these run as they build; tests/llm covers them
         if name in ("train_tagger", "word_vectors", "conll_read", "index_export"):
             continue  # these fit or write while building; covered by the oracle runs
         assert fn(spark, SF_SMALL).schema is not None, name
