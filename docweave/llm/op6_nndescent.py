@@ -81,7 +81,7 @@ def _closest(edges: DataFrame, k: int, parts: int) -> DataFrame:
     return best.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def first_graph(nodes: DataFrame, dim: int, parts: int) -> DataFrame:
+def first_graph(nodes: DataFrame, dim: int, lines: int, parts: int) -> DataFrame:
     """Edges inside blocks of nodes that are adjacent along random directions."""
     out = None
     for i in range(DIRECTIONS):
@@ -105,7 +105,7 @@ def first_graph(nodes: DataFrame, dim: int, parts: int) -> DataFrame:
                 yield _edges(*_nearest(ids, vs, K))
 
         lined = nodes.mapInArrow(project, "id long, v array<float>, p double") \
-            .repartitionByRange(parts, "p").sortWithinPartitions("p")
+            .repartitionByRange(lines, "p").sortWithinPartitions("p")
         edges = lined.select("id", "v").mapInArrow(blocks, EDGE)
         out = edges if out is None else out.unionByName(edges)
     return _closest(out.withColumn("new", F.lit(True)), K, parts)
@@ -139,7 +139,9 @@ def build_graph(nodes: DataFrame, scratch: Scratch, dim: int) -> DataFrame:
     """a, b, d (squared distance): the K nearest found of every node."""
     parts = shuffle_partitions(nodes.sparkSession)
     n = nodes.count()
-    graph = scratch.save(first_graph(nodes, dim, parts), "graph0")
+    # blocks end at range partitions, so few nodes are one range
+    lines = max(1, min(parts, n // (8 * BLOCK)))
+    graph = scratch.save(first_graph(nodes, dim, lines, parts), "graph0")
     for r in range(ROUNDS):
         # members around a node: its neighbours and the nearest that list it
         back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "d", "new")
