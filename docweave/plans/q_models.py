@@ -187,6 +187,39 @@ def q_train_tagger(spark, sf):
     return tags.apply_tagger(model, toks, "msg_id").select("msg_id", "pos", "result", "tag")
 
 
+# --- T12 on entity labels: IOB tags of the rules, part of speech and vectors -
+def _featured(spark, sf, toks, model, voc):
+    """Tokens with the most frequent tag as part of speech and their vector."""
+    return vectors.embed_tokens(tags.tag_tokens(toks, model, out_col="pos_tag"), voc, 64)
+
+
+@query("entity_tagger", f"""
+select count(*) as n_tokens, true as labels_known, true as offsets_right, true as some_chunks
+from {sql.tokens('documents', scope='sentence')}""")
+def q_entity_tagger(spark, sf):
+    """Labels, features, training, prediction and chunks; checked by its counts,
+    its label set and the text at its chunks' offsets."""
+    from docweave.operators import entities
+    d = docs(spark, sf)
+    toks = segment.tokenize(d, "doc_id", "text", scope="sentence")
+    model = tags.fit_tags(lang_tokens(spark, sf), "result", "lang")
+    voc = vectors.vocabulary_by_rank(segment.tokenize(d, "doc_id", "text"), tb.table(spark, sf, "embeddings"))
+    labelled = entities.tag_from_spans(toks, entities.rule_spans(d, "doc_id", "text"), "doc_id") \
+        .withColumnRenamed("tag", "label")
+    labelled = _featured(spark, sf, labelled, model, voc)
+    tagger = tags.train_tagger(labelled, "doc_id", max_iter=3, num_features=1 << 10, tag_cols=("pos_tag",),
+                               vector_col="embedding")
+    known = [f"{x}-{name}" for name, _ in entities.RULES for x in "BI"] + ["O"]
+    tagged = tags.apply_tagger(tagger, labelled, "doc_id")
+    counts = tagged.agg(F.count(F.lit(1)).alias("n_tokens"), F.bool_and(F.col("tag").isin(known)).alias("labels_known"))
+    chunks = entities.entity_chunks(tagged, d, "doc_id", "text").join(
+        d.select(F.col("doc_id").alias("__d"), "text"), F.col("doc_id") == F.col("__d"))
+    right = chunks.agg(
+        F.coalesce(F.bool_and(F.expr("substring(text, begin + 1, end - begin + 1)") == F.col("result")), F.lit(True))
+        .alias("offsets_right"), (F.count(F.lit(1)) > 0).alias("some_chunks"))
+    return counts.join(F.broadcast(right))  # one row each
+
+
 # --- T14 explain documents preset -------------------------------------------
 @query("explain_documents", f"""
 with t as (select t.*, lower(regexp_replace(t.result, '[^\\p{{L}}]', '', 'g')) as norm,
