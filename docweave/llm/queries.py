@@ -47,6 +47,25 @@ def op3_parity_join(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+OP3_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) >= 5
+        then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+        when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g from w),
+n as (select doc_id, count(*) as k from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c
+      from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+      where 100 * c >= 75 * (x.k + y.k - c)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as node, doc_id as reach from documents
+      union select r.node, e.b from r join e on r.reach = e.a)
+select d.doc_id, coalesce(n.k, 0) as n_shingles, min(r.reach) as component_id
+from documents d left join n on n.doc_id = d.doc_id join r on r.node = d.doc_id group by all"""
+
+
 def op4_token_parquet(spark, sf_dir):
     path = Scratch(spark, "tokens").path("ids")
     op4_tokens.write_tokens(table(spark, sf_dir, "documents"), path, WORD_VOCABULARY, end_id=2)
@@ -116,5 +135,6 @@ QUERIES = {
 }
 ORACLES = {
     "op2_warc_revisits": OP2_SQL,
+    "op3_parity_join": OP3_SQL,
     "op9_source_mixing": OP9_SQL,
 }
