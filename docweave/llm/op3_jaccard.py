@@ -21,8 +21,10 @@ no comparison, and only pairs of different components are compared further.
 So a group of n near copies costs about n comparisons, no link between
 components is missed, and no bucket is expanded into all its pairs.
 
-Frequencies are counted in packed blocks: a task sends each bucket of the key
-space one sorted array, and gets one class per key back.
+Frequencies are counted in packed blocks: a chunk of documents adds up its own
+keys, sends each bucket of the key space one sorted array of them with their
+counts, and gets one class per key back.  So a key that very many documents
+share is sent once by each chunk.
 
 Defined cases: a null text, and one without words, has no shingles and links
 with nothing; under five words the whole sequence is one shingle; repeated
@@ -118,9 +120,9 @@ def _chosen_sets(docs: pa.Table, chosen: pa.Table) -> tuple[list[int], list[np.n
     return ids, shingle_sets([rows[d].encode() for d in ids])
 
 
-def _all_keys(sets: list[np.ndarray], buckets: int):
-    """Every segment key of a chunk with its (document, slot, offers), in
-    bucket order: the same order whenever it is computed."""
+def _all_keys(sets: list[np.ndarray]):
+    """Every segment key of a chunk, ascending, with its document and slot (own
+    or lower band): the same order whenever it is computed."""
     keys, owner, slot = [], [], []
     for d, s in enumerate(sets):
         for i, (band, _) in enumerate(bands(len(s))):
@@ -129,50 +131,58 @@ def _all_keys(sets: list[np.ndarray], buckets: int):
             owner.append(np.full(len(k), d, np.int32))
             slot.append(np.full(len(k), i, np.int8))
     if not keys:
-        return np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int8), np.zeros(0, np.int64)
+        return np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int8)
     keys, owner, slot = np.concatenate(keys), np.concatenate(owner), np.concatenate(slot)
     order = np.lexsort((slot, owner, keys))
-    keys, owner, slot = keys[order], owner[order], slot[order]
+    return keys[order], owner[order], slot[order]
+
+
+def _bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of the key space starts in ascending keys."""
     width = -(-(1 << 64) // buckets)
-    bucket = (keys // U(width)).astype(np.int64) if buckets > 1 else np.zeros(len(keys), np.int64)
-    return keys, owner, slot, bucket
+    starts = np.array([min(b * width, (1 << 64) - 1) for b in range(buckets)], U)
+    return np.append(np.searchsorted(keys, starts), len(keys))
 
 
 def frequency_classes(docs: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame:
     """(chunk, bucket, classes): one byte per key of the chunk in that bucket,
     0 for a key of a single document, else the bit length of their number."""
     def send(doc_rows: pa.Table, chosen_rows: pa.Table) -> pa.Table:
+        schema = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()),
+                            ("counts", pa.binary())])
         if not doc_rows.num_rows or not chosen_rows.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()),
-                             "keys": pa.array([], pa.binary())})
+            return schema.empty_table()
         _, sets = _chosen_sets(doc_rows, chosen_rows)
-        keys, _, _, bucket = _all_keys(sets, buckets)
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+        keys, counts = np.unique(_all_keys(sets)[0], return_counts=True)
+        counts = counts.astype(np.uint32)
+        cuts = _bucket_cuts(keys, buckets)
         used = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        return pa.table({"chunk": pa.array([chosen_rows["chunk"][0].as_py()] * len(used), pa.int32()),
-                         "bucket": pa.array(used, pa.int32()),
-                         "keys": pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in used], pa.binary())})
+        return pa.table([pa.array([chosen_rows["chunk"][0].as_py()] * len(used), pa.int32()),
+                         pa.array(used, pa.int32()),
+                         pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in used], pa.binary()),
+                         pa.array([counts[cuts[b]:cuts[b + 1]].tobytes() for b in used], pa.binary())], schema=schema)
 
     def count(rows: pa.Table) -> pa.Table:
         arrays = [np.frombuffer(k, U) for k in rows["keys"].to_pylist()]
         keys = np.concatenate(arrays)
+        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint32).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
         starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
-        times = np.diff(np.append(starts, len(ordered)))
+        times = np.add.reduceat(counts[order], starts)
         klass = np.where(times == 1, 0, np.floor(np.log2(times)) + 1).astype(np.uint8)
         flags = np.empty(len(keys), np.uint8)
-        flags[order] = np.repeat(klass, times)
+        flags[order] = np.repeat(klass, np.diff(np.append(starts, len(ordered))))
         cuts = np.cumsum([0] + [len(a) for a in arrays])
         return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"],
                          "classes": pa.array([flags[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
     sent = docs.groupBy("chunk").cogroup(chosen.groupBy("chunk")).applyInArrow(
-        send, "chunk int, bucket int, keys binary")
+        send, "chunk int, bucket int, keys binary, counts binary")
     return sent.groupBy("bucket").applyInArrow(count, "chunk int, bucket int, classes binary")
 
 
-def offers(docs: DataFrame, chosen: DataFrame, classes: DataFrame, buckets: int) -> DataFrame:
+def offers(docs: DataFrame, chosen: DataFrame, classes: DataFrame) -> DataFrame:
     """doc_id, n, keys, sketch and set of every document that offers a segment
     another document has: the rarest segments, as many as pigeonhole needs."""
     def choose(doc_rows: pa.Table, other: pa.Table) -> pa.Table:
@@ -183,10 +193,12 @@ def offers(docs: DataFrame, chosen: DataFrame, classes: DataFrame, buckets: int)
         if not doc_rows.num_rows or not blocks.num_rows:
             return schema.empty_table()
         ids, sets = _chosen_sets(doc_rows, chosen_rows)
-        keys, owner, slot, _ = _all_keys(sets, buckets)
+        keys, owner, slot = _all_keys(sets)
+        distinct, back = np.unique(keys, return_inverse=True)
         klass = np.frombuffer(b"".join(blocks["classes"].to_pylist()), np.uint8)
-        if len(klass) != len(keys):
+        if len(klass) != len(distinct):
             raise ValueError("a chunk's keys and their classes do not match")
+        klass = klass[back]
         order = np.lexsort((keys, klass, slot, owner))  # by document and band, rarest first
         keys, owner, slot, klass = keys[order], owner[order], slot[order], klass[order]
         group = owner.astype(np.int64) * 2 + slot
@@ -296,7 +308,7 @@ def near_duplicate_classes(docs: DataFrame, text_col: str = "text", id_col: str
     texts = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     texts = texts.select("doc_id", "text", _chunk(n))
     counted = scratch.save(frequency_classes(texts, chosen, buckets), "classes-of-keys")
-    sets = scratch.save(offers(texts, chosen, counted, buckets), "sets")
+    sets = scratch.save(offers(texts, chosen, counted), "sets")
     scratch.drop("classes-of-keys", "chosen")
     labels = link_classes(sets, scratch)
 
