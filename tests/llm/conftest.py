@@ -1,7 +1,5 @@
 import pytest
 
-from docweave.llm import common
-
 
 @pytest.fixture(autouse=True)
 def few_partitions(spark):
@@ -10,4 +8,3 @@ def few_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert common.WORD_RE
