@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,15 +91,17 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema)
 def pairwise(pdf: pd.DataFrame, key: str, a: str, b: str) -> pd.DataFrame:
     """(key, i, a[i], b[i]) for i below the length of ``a``; raises when ``b``
     is shorter, as the row-iterating original did."""
-    rows = []
-    for k, xs, ys in zip(pdf[key], pdf[a], pdf[b]):
-        if xs is None:
-            continue
-        for i in range(len(xs)):
-            if ys is None or i >= len(ys):
-                raise IndexError(f"{b} shorter than {a} for {key}={k}")
-            rows.append((k, i, xs[i], ys[i]))
-    return pd.DataFrame(rows, columns=[key, "i", a, b])
+    rows = pdf[pdf[a].notna()]
+    n = rows[a].map(len).to_numpy(int)
+    short = rows[b].map(lambda y: 0 if y is None else len(y)).to_numpy(int) < n
+    if short.any():
+        raise IndexError(f"{b} shorter than {a} for {key}={rows[key][short].iloc[0]}")
+    rows, n = rows[n > 0], n[n > 0]
+    if not len(rows):
+        return pd.DataFrame({key: [], "i": [], a: [], b: []})
+    return pd.DataFrame({
+        key: np.repeat(rows[key].to_numpy(), n), "i": np.concatenate([np.arange(k) for k in n]),
+        a: np.concatenate(rows[a].to_list()), b: np.concatenate([y[:k] for y, k in zip(rows[b], n)])})
 
 
 def entity_table(chunks: DataFrame, id_col: str = "id") -> DataFrame:

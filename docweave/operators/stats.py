@@ -18,14 +18,19 @@ def estimate_pi(spark: SparkSession, slices: int = 2, seed: int = 42) -> DataFra
                     / F.lit(n - 1)).alias("pi"))
 
 
-def pi_from_keys(df: DataFrame, key: str, grid: int = 1000) -> DataFrame:
-    """Pi from the rows of a table: each key picks a cell centre of a
-    ``grid``x``grid`` lattice on the unit square (two multiplicative hashes);
-    pi = 4 * share of points inside the quarter circle.  One partial + final
-    aggregate, no shuffle of rows."""
-    k = F.col(key)
-    x = (((k * 7919) % grid) + 0.5) / grid
-    y = (((k * 104729) % grid) + 0.5) / grid
+# A prime, and its shares by the plastic number and its square.
+# Their multiples modulo the prime fill the square evenly, ever more finely.
+PRIME, STEP_X, STEP_Y = 2147483647, 1621087444, 1223722706
+
+
+def pi_from_keys(df: DataFrame, key: str) -> DataFrame:
+    """Pi from the rows of a table: each integer key picks a point of the unit
+    square (distinct points for keys that differ modulo ``PRIME``, so more rows
+    give a better value); pi = 4 * share of points inside the quarter circle.
+    One partial + final aggregate, no shuffle of rows."""
+    k = F.col(key).cast("long") % PRIME
+    x = ((k * STEP_X) % PRIME + 0.5) / PRIME
+    y = ((k * STEP_Y) % PRIME + 0.5) / PRIME
     inside = F.when(x * x + y * y <= 1.0, 1).otherwise(0)
     # try_divide: an empty table gives NULL instead of a division error (ANSI)
     return df.agg(F.count(F.lit(1)).alias("samples"),

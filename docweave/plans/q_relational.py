@@ -174,8 +174,9 @@ def q_checksum(spark, sf):
 @query("pi_lattice", """
 select count(*) as samples,
   4.0 * sum(case when x * x + y * y <= 1.0 then 1 else 0 end) / count(*) as pi
-from (select ((o_orderkey * 7919) % 1000 + 0.5) / 1000 as x,
-             ((o_orderkey * 104729) % 1000 + 0.5) / 1000 as y from orders)""")
+from (select ((k * 1621087444) % 2147483647 + 0.5) / 2147483647 as x,
+             ((k * 1223722706) % 2147483647 + 0.5) / 2147483647 as y
+      from (select o_orderkey % 2147483647 as k from orders))""")
 def q_pi_lattice(spark, sf):
     return stats.pi_from_keys(tb.table(spark, sf, "orders"), "o_orderkey")
 

@@ -20,7 +20,6 @@ from pyspark.sql.types import StructType
 
 from docweave.operators import select
 from docweave.plans import jobs
-from docweave.session import scratch_path
 
 
 def enrich_stream(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
@@ -29,7 +28,8 @@ def enrich_stream(spark: SparkSession, source_dir: str, schema: StructType, out_
                   files_per_batch: int = 100, params: jobs.BodyParams | None = None,
                   available_now: bool = True, fmt: str = "parquet") -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination`` it)."""
-    checkpoint = checkpoint or scratch_path(spark, "enrich-stream-checkpoint")
+    # beside the output: a later session goes on where this one stopped
+    checkpoint = checkpoint or os.path.join(out_dir, "_checkpoint")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source_dir))
 
