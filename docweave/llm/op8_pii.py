@@ -42,8 +42,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+(?<=[0-9])")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Tokens worth asking about: six characters or more, with a digit.
-IDENTIFIER = re.compile(r"(?=[^\x20\x09-\x0D]*[0-9])[A-Za-z0-9][A-Za-z0-9@._:/+=#-]{4,}[A-Za-z0-9]")
+#: Tokens worth asking about: six characters or more, those with a digit.
+IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9@._:/+=#-]{4,}[A-Za-z0-9]")
+DIGIT = re.compile("[0-9]").search
 
 TAG = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "id": "<ID>"}
 
@@ -106,12 +107,14 @@ def _contexts(text: str, start: int, end: int) -> list[str]:
 def scan(text: str):
     """Base spans, and (start, end, seed?, contexts) of identifier-like tokens."""
     spans = base_spans(text)
-    if not spans and not re.search("[0-9]", text):
+    if not spans and not DIGIT(text):
         return spans, []
     found = [(a, b, True, _contexts(text, a, b)) for a, _, b in spans]
     taken = sorted((a, b) for a, _, b in spans)
     i = 0
     for m in IDENTIFIER.finditer(text):
+        if not DIGIT(m.group()):
+            continue
         while i < len(taken) and taken[i][1] <= m.start():
             i += 1
         if i < len(taken) and taken[i][0] < m.end():

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -248,6 +249,13 @@ def test_base_spans_equal_the_patterns():
         assert op8_pii.base_spans(t) == brute_spans(t), t
 
 
+def test_scan_of_very_long_words_is_linear():
+    t0 = time.time()
+    for unit in ("a", "1", "a.", "1.", "a@", "-", "+1", "a-"):
+        op8_pii.scan(unit * (400_000 // len(unit)) + " 7")
+    assert time.time() - t0 < 20
+
+
 def test_contexts_of_seeds_find_other_identifiers(spark):
     rows = [(i, f"text about things. member contact address user{i}@mail.org today and more") for i in range(20)]
     rows += [(100 + i, f"some words, member contact address QX-77{i}-Z9 today and more") for i in range(3)]
