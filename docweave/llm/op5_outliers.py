@@ -32,11 +32,11 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 H, STEPS = 0.75, 3
 MIN_ROWS, PRIOR_ROWS = 200, 20.0
 #: Upper tail probability of a chi-squared distance at which a row is rejected.
-TAIL = 1e-12
+TAIL = 1e-5
 # The statistics in use and their least standard deviations: differences under
 # these say nothing about quality, whatever a group's spread.
 USED = ("symbols", "word_length", "adjacent", "repeats", "upper", "digits", "dup_lines", "long_words")
-FLOOR = np.array([0.10, 0.08, 0.04, 0.10, 0.04, 0.06, 0.15, 0.06])
+FLOOR = np.array([0.10, 0.08, 0.04, 0.10, 0.05, 0.15, 0.15, 0.12])
 INDEX = [textstats.FEATURES.index(c) for c in USED]
 P = len(USED)
 #: Estimates of up to this many groups are broadcast; more are shuffled.
