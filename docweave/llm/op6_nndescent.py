@@ -179,6 +179,8 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, scratch: Scra
         rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "node"))
         ranked = seen.withColumn("rank", rank)
         front = ranked.filter((F.col("rank") <= BEAM) & ~F.col("done"))
+        if step and front.isEmpty():
+            break
         reached = front.select("q", F.col("node").alias("a")).join(edges, "a").select("q", F.col("b").alias("node")) \
             .distinct().join(seen.select("q", "node"), ["q", "node"], "left_anti")
         measured = reached.join(vectors, "node").join(asked, "q").select(
@@ -187,8 +189,6 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, scratch: Scra
         seen = scratch.save(kept.unionByName(measured), f"seen{step}")
         if step:
             scratch.drop(f"seen{step - 1}")
-        if seen.filter(~F.col("done")).isEmpty():
-            break
     return seen.select("q", "node", "score")
 
 
