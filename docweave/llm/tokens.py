@@ -15,7 +15,7 @@ import re
 import unicodedata
 from array import array
 from functools import lru_cache
-from itertools import filterfalse
+from itertools import filterfalse, islice
 
 import regex
 
@@ -66,31 +66,37 @@ class Encoder:
             self.pieces[piece] = ids
         return ids
 
-    def _learn(self, known: dict, chunks: list[str], space: str) -> None:
-        if len(known) >= CHUNK_ENTRIES:
-            known.clear()
-        piece = self._piece
+    def _learn(self, chunks, space: str) -> dict[str, bytes]:
+        """The ids of each chunk, in a table of their own."""
+        piece, learned = self._piece, {}
         for chunk in chunks:
             form = chunk
             if not self.byte_level and not (chunk.isascii() and chunk.islower()):
                 if max(chunk) >= "\u0250":  # normal forms beyond Latin: left to the library
-                    known[chunk] = self._whole(chunk)
+                    learned[chunk] = self._whole(chunk)
                     continue
                 form = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
             if form.isalpha():
-                known[chunk] = piece(space + form)
+                learned[chunk] = piece(space + form)
             elif form[-1] in ".,;:!?" and form[:-1].isalpha():
-                known[chunk] = piece(space + form[:-1]) + piece(form[-1])
+                learned[chunk] = piece(space + form[:-1]) + piece(form[-1])
             else:
-                known[chunk] = b"".join(map(piece, self.cut(space + form)))
+                learned[chunk] = b"".join(map(piece, self.cut(space + form)))
+        return learned
 
     def _ids(self, known: dict, chunks: list[str], space: str) -> bytes:
-        new = list(filterfalse(known.__contains__, chunks))
-        if new:
-            self._learn(known, new, space)
-            if len(known) <= len(new):  # it was emptied: learn the others again
-                self._learn(known, list(filterfalse(known.__contains__, chunks)), space)
-        return b"".join(map(known.__getitem__, chunks))
+        new = set(filterfalse(known.__contains__, chunks))
+        if not new:
+            return b"".join(map(known.__getitem__, chunks))
+        learned = self._learn(new, space)
+        if len(known) + len(learned) <= CHUNK_ENTRIES:
+            known.update(learned)
+            return b"".join(map(known.__getitem__, chunks))
+        # the table is emptied only when the ids of this text are out of it
+        ids = b"".join([learned[c] if c in learned else known[c] for c in chunks])
+        known.clear()
+        known.update(islice(learned.items(), CHUNK_ENTRIES))
+        return ids
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()

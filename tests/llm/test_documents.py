@@ -11,7 +11,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from docweave.llm import op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing, op10_suffix, textstats
+from docweave.llm import (op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing, op10_suffix,
+                           textstats, tokens)
 from docweave.llm.common import Scratch
 from docweave.llm.tokens import Encoder
 
@@ -111,6 +112,16 @@ def test_encoder_equals_the_library(name):
         assert np.frombuffer(e.encode(text), "<u4").tolist() == w.ids, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_larger_than_the_chunk_table(name, monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK_ENTRIES", 3)
+    e = Encoder(public_tokenizers.path(name))
+    texts = ["a b", "a b 7f3a c d Éa. e,\nf a b", "x", "a x y", "x p q r a", "a b c d e f a b c d e f"]
+    for text in texts:
+        assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tok.encode(text, add_special_tokens=False).ids
+        assert len(e.bare) <= 3 and len(e.spaced) <= 3
+
+
 def test_token_files_round_trip(spark):
     path = Scratch(spark, "t").path("ids")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
