@@ -5,8 +5,8 @@ run of non-space characters across a plain space.  So a text is the sequence
 of its space-separated chunks, and each distinct chunk is encoded once per
 worker by the library's own model and remembered (a bounded table: the size
 only decides how often a chunk is encoded again).  A text in which blanks are
-not single spaces or single line feeds between words is given to the library
-as it is.
+not single spaces or single line feeds between words, or with the string of an
+added token (``<|endoftext|>``), is given to the library as it is.
 """
 
 from __future__ import annotations
@@ -47,7 +47,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tok.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        # those are found in the normal form of a text, so any text may hold them
+        self.hidden = any(t.normalized for t in added) and self.tok.normalizer is not None
         self.byte_level = self.tok.normalizer is None
         self.alphabet = _byte_alphabet()
         self.cut = regex.compile(BYTE_PIECES if self.byte_level else WORD_PIECES).findall
@@ -104,6 +107,8 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if self.hidden or any(a in text for a in self.added):
+            return self._whole(text)
         if self.byte_level:
             return self._byte_text(text)
         if SEPARATORS(text):  # blank to Python, not to the vocabulary's pattern

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from docweave.llm import (op3_jaccard, op4_tokens, op5_outliers, op7_packing, op8_pii, op9_mixing, op10_suffix,
                            textstats, tokens)
@@ -112,6 +113,16 @@ def test_encoder_equals_the_library(name):
         assert np.frombuffer(e.encode(text), "<u4").tolist() == w.ids, text
 
 
+@pytest.mark.parametrize("name, ends", [("word_bpe_49k.json", [49406, 49407]), ("byte_bpe_50k.json", [50256])])
+def test_added_tokens_equal_a_plain_call(name, ends):
+    e, plain = Encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    texts = ["<|startoftext|>", "a <|endoftext|> b", "a<|startoftext|>b\n<|endoftext|>", "x <|EndOfText|> y <| z |>",
+             "É <|endoftext|><|startoftext|>\n\nb  c", "<|endoftext|", *(t for _, t, *_ in AWKWARD if t)]
+    got = [np.frombuffer(e.encode(t), "<u4").tolist() for t in texts]
+    assert got == [w.ids for w in plain.encode_batch(texts, add_special_tokens=False)]
+    assert {i for ids in got for i in ids}.issuperset(ends)
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_texts_larger_than_the_chunk_table(name, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNK_ENTRIES", 3)
