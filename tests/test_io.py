@@ -1,6 +1,7 @@
 """Sinks and sources: save modes, index writer, batched sink, CoNLL, JDBC options, stream."""
 
 import os
+import random
 import tempfile
 
 import pytest
@@ -68,6 +69,39 @@ def test_conll_reader_line_ends_and_docstart(spark, eol):
         [("Peter", "NNP", "B-NP", "B-PER")], [("x", "Y", "Z", "O")]]
 
 
+@pytest.mark.parametrize("eol", ["\n", "\r\n"])
+def test_conll_reader_reads_split_files(spark, eol):
+    d = tempfile.mkdtemp(prefix="dw-conll-")
+    rng, want = random.Random(3), []
+    for name in ("a.txt", "b.txt"):
+        lines, sent = ["-DOCSTART- -X- -X- O", ""], 2
+        for s in range(40):
+            for i in range(rng.randint(1, 9)):
+                lines.append(f"w{s}x{i}é P B-NP O")
+                want.append((name, sent, i, f"w{s}x{i}é"))
+            ends = rng.choice([[""], ["", ""], ["-DOCSTART- -X- -X- O", ""], [" "]])
+            lines += ends
+            sent += len(ends)
+        with open(os.path.join(d, name), "w", newline="", encoding="utf-8") as f:
+            f.write(eol.join(lines) + eol)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in names}
+    spark.conf.set(names[1], "false")
+    try:
+        for size in (97, 1000):  # blocks that end inside lines, sentences and line ends
+            spark.conf.set(names[0], str(size))
+            rows = files.read_conll(spark, d)
+            assert spark.read.text(d).rdd.getNumPartitions() > 2
+            assert rows.filter(F.col("sent_id").contains("a.txt")).select(
+                F.spark_partition_id()).distinct().count() > 1  # a file is no single task's work
+            got = [(os.path.basename(file), int(sent), r["tok_idx"], r["token"])
+                   for r in rows.collect() for file, sent in [r["sent_id"].rsplit("#", 1)]]
+            assert sorted(got) == sorted(want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_jdbc_options():
     part = jdbc.Partitioning("id", 0, 37000, 5)
     o = jdbc.jdbc_options("jdbc:x://h/db", sql="select 1", props={"user": "u"}, partition=part)
