@@ -34,9 +34,13 @@ MIN_ROWS, PRIOR_ROWS = 200, 20.0
 #: Upper tail probability of a chi-squared distance at which a row is rejected.
 TAIL = 1e-5
 # The statistics in use and their least standard deviations: differences under
-# these say nothing about quality, whatever a group's spread.
+# these say nothing about quality, whatever a group's spread.  A square root of
+# a share of n words or lines varies by 1 / (2 sqrt(n)) besides, so a document's
+# own n widens its group's covariance (repeated words come by whole lines).
 USED = ("symbols", "word_length", "adjacent", "repeats", "upper", "digits", "dup_lines", "long_words")
-FLOOR = np.array([0.10, 0.08, 0.04, 0.10, 0.05, 0.15, 0.15, 0.12])
+FLOOR = np.array([0.10, 0.08, 0.04, 0.05, 0.05, 0.05, 0.05, 0.05])
+BY_WORDS = np.isin(USED, ("digits", "long_words")).astype(float)
+BY_LINES = np.isin(USED, ("repeats", "dup_lines")).astype(float)
 INDEX = [textstats.FEATURES.index(c) for c in USED]
 P = len(USED)
 #: Estimates of up to this many groups are broadcast; more are shuffled.
@@ -90,15 +94,21 @@ def chi2_upper(tail: float, k: int) -> float:
 CONSISTENCY = H / chi2_cdf(chi2_upper(1 - H, P), P + 2)
 
 
+def sampling_variances(s: textstats.TextStats) -> np.ndarray:
+    return 0.25 * (BY_WORDS / (s.n_words + textstats.PRIOR_WORDS) + BY_LINES / (s.n_lines + textstats.PRIOR_LINES))
+
+
 def document_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """keep columns, base counts, base_failed and the feature vector x."""
+    """keep columns, base counts, base_failed, the feature vector x and its sampling variances."""
     def run(texts):
         found = [textstats.text_stats(t) for t in texts]
         return [*(pa.array([getattr(s, c) for s in found], pa.int64()) for c in BASE),
                 pa.array([s.base_failed for s in found], pa.bool_()),
-                pa.array([textstats.features(s) for s in found], pa.list_(pa.float64()))]
+                pa.array([textstats.features(s) for s in found], pa.list_(pa.float64())),
+                pa.array([sampling_variances(s) for s in found], pa.list_(pa.float64()))]
 
-    added = ", ".join([*(f"{c} long" for c in BASE), "base_failed boolean", "x array<double>"])
+    added = ", ".join([*(f"{c} long" for c in BASE), "base_failed boolean", "x array<double>",
+                       "sampling array<double>"])
     return from_text(docs, text_col, keep, added, run)
 
 
@@ -118,8 +128,8 @@ def _pooled(rows: DataFrame) -> DataFrame:
 
 
 def _distances(rows: DataFrame) -> DataFrame:
-    """Replaces the columns mu and inverse by the squared distance d2."""
-    kept = [f for f in rows.schema if f.name not in ("mu", "inverse")]
+    """Replaces the columns mu and cov by the squared distance d2."""
+    kept = [f for f in rows.schema if f.name not in ("mu", "cov")]
     schema = T.StructType([*kept, T.StructField("d2", T.DoubleType())])
 
     def vectors(batch, name, width):
@@ -128,8 +138,9 @@ def _distances(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             d = vectors(batch, "x", len(textstats.FEATURES))[:, INDEX] - vectors(batch, "mu", P)
-            m = vectors(batch, "inverse", P * P).reshape(-1, P, P)
-            d2 = np.einsum("ni,nij,nj->n", d, m, d)
+            m = vectors(batch, "cov", P * P).reshape(-1, P, P).copy()
+            m[:, range(P), range(P)] += FLOOR ** 2 + vectors(batch, "sampling", P)
+            d2 = np.einsum("ni,ni->n", d, np.linalg.solve(m, d[..., None])[..., 0])
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(d2)], schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -145,11 +156,10 @@ def _start(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = batch[[*KEYS, "mu"]].copy()
-            out["inverse"] = [np.diag(1 / ((1.4826 * np.asarray(m)) ** 2 + FLOOR ** 2)).ravel()
-                              for m in batch["mad"]]
+            out["cov"] = [np.diag((1.4826 * np.asarray(m)) ** 2).ravel() for m in batch["mad"]]
             yield out
 
-    return dev.mapInPandas(run, "__lang string, __source string, mu array<double>, inverse array<double>")
+    return dev.mapInPandas(run, "__lang string, __source string, mu array<double>, cov array<double>")
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -164,7 +174,7 @@ def _add(n: int, name: str):
 
 
 def _estimate(sums: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Mean and inverse covariance of each group from its sums and its priors'."""
+    """Mean and covariance of each group from its sums and its priors'."""
     sums = scratch.save(sums, name)
     pairs = P * (P + 1) // 2
     by_lang = sums.groupBy("__lang").agg(F.sum("n").alias("n"), _add(P, "s"), _add(pairs, "ss"))
@@ -186,20 +196,20 @@ def _estimate(sums: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            mus, inverses = [], []
+            mus, covs = [], []
             for n, s, ss, prior in zip(batch["n"], batch["s"], batch["ss"], batch["prior"]):
                 own, prior = np.array([n, *s, *ss], float), np.asarray(prior, float)
                 prior = prior + whole * (PRIOR_ROWS / whole[0])
                 own = own + prior * (PRIOR_ROWS / prior[0])
                 mu, cov = moments(own[0], own[1:P + 1], own[P + 1:])
                 mus.append(mu)
-                inverses.append(np.linalg.inv(cov * CONSISTENCY + np.diag(FLOOR ** 2)).ravel())
+                covs.append((cov * CONSISTENCY).ravel())
             out = batch[KEYS].copy()
-            out["mu"], out["inverse"] = mus, inverses
+            out["mu"], out["cov"] = mus, covs
             yield out
 
     return scratch.save(joined.mapInPandas(
-        run, "__lang string, __source string, mu array<double>, inverse array<double>"), f"{name}-estimate")
+        run, "__lang string, __source string, mu array<double>, cov array<double>"), f"{name}-estimate")
 
 
 def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -213,7 +223,7 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     rows = _with_estimates(rows, scratch.save(_pooled(rows), "pooled"), "left").withColumns(
         {k: F.coalesce(F.col(p), F.lit("*")) for k, p in zip(KEYS, ("__in_lang", "__in_source"))}
     ).drop("__in_lang", "__in_source")
-    good = rows.filter(~F.col("base_failed")).select(*KEYS, "x")
+    good = rows.filter(~F.col("base_failed")).select(*KEYS, "x", "sampling")
     estimates = scratch.save(_start(good), "start")
     for step in range(STEPS):
         near = scratch.save(_distances(_with_estimates(good, estimates)), f"near{step}")
@@ -225,7 +235,7 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     cutoff = chi2_upper(TAIL, P)
     judged = _with_estimates(rows, estimates, "left")
     zero, eye = F.array(*[F.lit(0.0)] * P), F.array(*[F.lit(float(i == j)) for i in range(P) for j in range(P)])
-    judged = judged.withColumns({"mu": F.coalesce("mu", zero), "inverse": F.coalesce("inverse", eye)})
+    judged = judged.withColumns({"mu": F.coalesce("mu", zero), "cov": F.coalesce("cov", eye)})
     return _distances(judged).select(
         *keep, *BASE, "base_failed", "d2", (~F.col("base_failed") & (F.col("d2") <= cutoff)).alias("kept"))
 

@@ -76,8 +76,8 @@ def text_stats(text: str | None) -> TextStats:
         count(data, b".,;:!?"), len(lines), int((sizes > 20).sum()))
 
 
-#: Pseudo-words that pull the ratios of short texts to these usual values.
-PRIOR_WORDS = 20.0
+#: Pseudo-words and lines that pull the ratios of short texts to these usual values.
+PRIOR_WORDS, PRIOR_LINES = 20.0, 4.0
 FEATURES = ("symbols", "word_length", "adjacent", "repeats", "upper", "digits", "dup_lines", "distinct",
             "punct", "long_words")
 
@@ -93,7 +93,7 @@ def features(s: TextStats) -> list[float]:
         (s.n_repeat_words / n) ** 0.5,
         ((s.n_upper + 0.02 * 5 * PRIOR_WORDS) / chars) ** 0.5,
         (s.n_digits / chars) ** 0.5,
-        (s.n_dup_lines / (s.n_lines + 4.0)) ** 0.5,
+        (s.n_dup_lines / (s.n_lines + PRIOR_LINES)) ** 0.5,
         # distinct words against what a text of this length usually has
         float(np.log((s.n_distinct + PRIOR_WORDS) / n) + 0.09 * np.log1p(s.n_words)),
         (s.n_punct / n) ** 0.5,

@@ -235,6 +235,33 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert not any(got[i] for i, *_ in junk) and sum(got[i] for i, *_ in rows) >= 498
 
 
+def test_one_statistic_alone_rejects(spark):
+    """Number dumps, repeated short lines and encoded words, each odd in one way only."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.choice((2, 3, 4, 5, 6, 7, 9))))
+             for _ in range(900)]
+
+    def line(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def clean():
+        lines = [line(rng.randint(8, 14)).capitalize() + "." for _ in range(rng.randint(2, 40))]
+        if rng.random() < 0.3:
+            lines.append(f"In {rng.randint(1900, 2020)} it was {rng.randint(2, 99)}.")
+        return "\n".join(lines)
+
+    rows = [(i, clean(), "en", "s") for i in range(600)]
+    junk = [(1000 + n, " ".join(str(rng.randint(10000, 99999)) for _ in range(n)), "en", "s") for n in (30, 60, 100, 900)]
+    junk += [(2000 + n, "\n".join(f"Home\n{line(4).capitalize()}" for _ in range(n)), "en", "s") for n in (30, 100, 400)]
+    junk += [(4000 + n, " ".join(w if rng.random() < 0.7 else "".join(rng.choices(words, k=6))[:24]
+                                 for w in line(n).split()), "en", "s") for n in (100, 900)]
+    out = op5_outliers.quality_verdicts(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string"))
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert not any(got[i]["base_failed"] for i, *_ in junk)  # it is the distance that decides
+    assert [i for i, *_ in junk if got[i]["kept"]] == []
+    assert sum(got[i]["kept"] for i, *_ in rows) >= 598
+
+
 def test_outliers_of_awkward_and_empty_tables(spark):
     assert op5_outliers.quality_verdicts(frame(spark)).count() == len(AWKWARD)
     kept = op5_outliers.keep_good(frame(spark))
