@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from docweave.llm import (op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op6_nndescent,
-                          op7_packing, op8_pii, op9_mixing, op10_suffix)
+                          op7_packing, op8_pii, op9_mixing, op10_suffix, op11_collocations, op12_clusters)
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -121,6 +121,70 @@ def op10_suffix_dedup(spark, sf_dir):
     return op10_suffix.repeated_bytes(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
 
 
+def op11_son_collocations(spark, sf_dir):
+    return op11_collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with d as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as ws from documents),
+f as materialized (
+  select lang, k, phrase, count(*) as c from (
+    select lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+                                          lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase
+    from d, (values (1), (2), (3)) t(k)) group by all),
+n as (select lang, sum(c) as n from f where k = 1 group by lang),
+cand as (select lang, k, phrase, c as a, string_split(phrase, ' ') as w from f where k > 1 and c >= 10),
+held as (select lang, phrase, max(a) as within from (
+    select lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase from cand where k = 3) group by all),
+kept as (select cand.* from cand left join held using (lang, phrase) where coalesce(100 * within < 50 * a, true)),
+cut as (select lang, phrase, a, w, unnest(range(1, k)) as j from kept),
+parts as (
+  select t.lang, t.phrase, t.a, t.j, x.c as l, y.c as r,
+         1000000::hugeint * t.a * t.a // (x.c::hugeint * y.c) as score
+  from cut t join f x on x.lang = t.lang and x.phrase = array_to_string(t.w[1:t.j], ' ')
+             join f y on y.lang = t.lang and y.phrase = array_to_string(t.w[t.j + 1:], ' ')),
+low as (select * from parts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+best as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from low
+         qualify rank <= 2000)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l,
+       cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from best join n using (lang)"""
+
+
+def op12_eenns_clusters(spark, sf_dir):
+    return op12_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op12_sql(start: int = 40, rounds: int = 5) -> str:
+    nearest = """select rid, min(d * 64 + c) % 64 as c, min(d * 64 + c) // 64 as d from (
+        select v.rid, m.c, list_sum(list_transform(list_zip(v.e, m.m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint
+            as d from v, {m} m) group by rid"""
+    parts = ["""v as materialized (
+      select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+      from embeddings
+      where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64)""",
+             f"""m0 as materialized (
+      select row_number() over (order by h nulls last, e) - 1 as c, e as m
+      from (select sha256('2:' || vec_id) as h, e from v order by h nulls last, e limit {start}))"""]
+    for i in range(rounds):
+        parts.append(f"a{i} as materialized ({nearest.format(m=f'm{i}')})")
+        parts.append(f"""m{i + 1} as materialized (
+      select c, coalesce(n.m, o.m) as m from m{i} o left join (
+        select c, list((s - ((s % k) + k) % k) // k order by i) as m from (
+          select c, i, sum(x) as s, count(*) as k from (
+            select a.c, unnest(v.e) as x, unnest(range(64)) as i from v join a{i} a using (rid)) group by all)
+        group by c) n using (c))""")
+    parts.append(f"z as materialized ({nearest.format(m=f'm{rounds}')})")
+    return "with " + ",\n".join(parts) + f"""
+select vec_id, cast(z.c as int) as cluster, cast(z.d as bigint) as distance,
+       cast(sum(z.d) over (partition by z.c) as bigint) as cluster_inertia, cast(sum(z.d) over () as bigint) as inertia,
+       sha256(array_to_string(m.m, ',')) as centroid_sha256
+from z join v using (rid) join m{rounds} m on m.c = z.c"""
+
+
 QUERIES = {
     "op1_rff_quality": op1_rff_quality,
     "op2_warc_revisits": op2_warc_revisits,
@@ -132,9 +196,13 @@ QUERIES = {
     "op8_bootstrap_pii": op8_bootstrap_pii,
     "op9_source_mixing": op9_source_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_son_collocations": op11_son_collocations,
+    "op12_eenns_clusters": op12_eenns_clusters,
 }
 ORACLES = {
     "op2_warc_revisits": OP2_SQL,
     "op3_parity_join": OP3_SQL,
     "op9_source_mixing": OP9_SQL,
+    "op11_son_collocations": OP11_SQL,
+    "op12_eenns_clusters": op12_sql(),
 }
