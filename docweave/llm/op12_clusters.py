@@ -97,7 +97,7 @@ def starting_centroids(vecs: DataFrame, start: int = START, key: Column | None =
     """The ``start`` vectors with the smallest key, in its order (a bounded top-k)."""
     key = key if key is not None else F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256)
     rows = vecs.select(key.alias("__h"), "v").orderBy(F.col("__h").asc_nulls_last(), "v").limit(start).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), len(rows[0]["v"]) if rows else 0)
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from docweave.llm import (op1_quality, op2_warc, op3_jaccard, op4_tokens, op5_outliers, op6_nndescent,
-                          op7_packing, op8_pii, op9_mixing, op10_suffix, op11_collocations, op12_clusters)
+                          op7_packing, op8_pii, op9_mixing, op10_suffix, op11_collocations, op12_clusters,
+                          op13_toxicity)
 from docweave.llm.common import Scratch, table
 
 #: Where the vocabulary files are; the path is a parameter of the operators.
@@ -185,6 +186,13 @@ select vec_id, cast(z.c as int) as cluster, cast(z.d as bigint) as distance,
 from z join v using (rid) join m{rounds} m on m.c = z.c"""
 
 
+def op13_levenshtein_toxicity(spark, sf_dir):
+    scores = op13_toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                           learn=~held_out())
+    return scores.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_rff_quality": op1_rff_quality,
     "op2_warc_revisits": op2_warc_revisits,
@@ -198,6 +206,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_son_collocations": op11_son_collocations,
     "op12_eenns_clusters": op12_eenns_clusters,
+    "op13_levenshtein_toxicity": op13_levenshtein_toxicity,
 }
 ORACLES = {
     "op2_warc_revisits": OP2_SQL,
