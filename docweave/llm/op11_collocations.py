@@ -1,17 +1,18 @@
 """Phrase collocations by partitioned mining (SON) and exact global counts.
 
-Documents fall into ``shards`` by a hash of their row.  A shard is mined completely at
-the support lowered in proportion to its share of the language's words: a phrase
-that reaches ``support`` over all shards reaches ``support * share`` in one of
-them.  Mining goes by levels: words, then pairs of locally frequent words, then
-triples of two locally frequent pairs.  The union of what the shards find is
-then counted over all documents, without regard to shards.
+Documents fall into ``shards`` of even size by a hash of their text.  A shard is mined
+completely at the support lowered in proportion to its share of the language's
+words: a phrase that reaches ``support`` over all shards reaches ``support *
+share`` in one of them.  Mining goes by levels: words, then pairs of locally
+frequent words, then triples of two locally frequent pairs.  The union of what
+the shards find is then counted over all documents, without regard to shards.
 
 A shard is a key of the counting jobs, not a task: its counts are hash aggregates that
-combine map-side, whatever its size.  Tasks learn which words or phrases are
-frequent from a bitmap of fixed size (``BITS``); a phrase that collides
-with a frequent one is only counted in vain, as the tables decide.  Words, pairs
-and triples of a slice of text are numbers, so counting is a sort of integers.
+combine map-side, whatever its size.  Pairs and triples are mined as 64-bit hashes,
+as a candidate too many does no harm; tasks learn which are frequent from a bitmap of
+fixed size (``BITS``).  The last count is by the phrases themselves and decides.
+Words, pairs and triples of a slice of text are numbers, so counting is a sort of
+integers.
 
 Defined cases: null text is empty, a null language is ``und`` and one with a
 language of that name; a text without words adds nothing; repeated rows count
@@ -35,10 +36,13 @@ from docweave.functions.joins import lookup_join
 from docweave.llm.common import Scratch
 
 SUPPORT, LIMIT = 10, 2000
-#: Shards of the corpus: with even shares the local support is 3 for a support of 10.
-SHARDS = 4
+#: Shards of the corpus (16 at most): with two even shares the local support is 5 for a
+#: support of 10; with more it soon falls to 1, where every phrase is frequent.
+SHARDS = 2
 #: Size of the bitmaps of frequent phrases, 16 MB each.
 BITS = 27
+#: Low bits of a phrase's hash that hold its shard.
+SHARD_BITS = 15
 #: Bytes of text turned into numbers at a time.
 SLICE = 8 << 20
 #: Groups whose first ``LIMIT`` are taken before those of a language are ranked.
@@ -74,7 +78,8 @@ def slices(texts: Iterator[str | None], size: int = SLICE) -> Iterator[bytes]:
 
 def numbered(data: bytes) -> tuple[np.ndarray, pa.Array]:
     """Word numbers in order, -1 at piece ends, and the words by number."""
-    parts = pa.array(data.replace(b"\n", b" \n ").split(b" "), pa.binary()).dictionary_encode()
+    parts = pc.split_pattern(pa.array([data.replace(b"\n", b" \n ")], pa.binary()), pattern=" ") \
+        .flatten().dictionary_encode()
     ids, words = parts.indices.to_numpy().astype(np.int64), parts.dictionary
     ids = ids[ids != pc.index(words, pa.scalar(b"", pa.binary())).as_py()]
     return np.where(ids == pc.index(words, pa.scalar(b"\n", pa.binary())).as_py(), -1, ids), words
@@ -84,41 +89,56 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
 
 
-def positions(group: str, *hashes: np.ndarray) -> np.ndarray:
-    """Bit of each phrase (one array of word hashes per place) of a group."""
-    out = np.full(len(hashes[0]), xxhash.xxh64_intdigest(group.encode()), np.uint64)
-    for h in hashes:
+def phrase_hashes(lang: str, *places: np.ndarray) -> np.ndarray:
+    """Hash of each phrase of a language (one array of word hashes per place), shard bits 0."""
+    out = np.full(len(places[0]), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
+    for h in places:
         out = (out ^ h) * _MIX
         out ^= out >> np.uint64(29)
-    return ((out * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
+    return out * _MIX & ~np.uint64(SHARD_BITS)
 
 
-def bitmap(phrases: DataFrame, group_col: str, phrase_col: str = "phrase"):
-    """Broadcast bitmap of the phrases (words joined by a space) of each group."""
-    spark = phrases.sparkSession
+def bit_of(keys: np.ndarray) -> np.ndarray:
+    keys = keys.astype(np.uint64)
+    return ((keys ^ (keys >> np.uint64(31))) * _MIX >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = bit_of(keys)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def bitmap(keys: DataFrame):
+    """Broadcast bitmap of the column ``key`` (bigint)."""
 
     def run(batches):
         for batch in batches:
-            rows: dict[tuple[str, int], list[list[bytes]]] = {}
-            for group, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = phrase.encode().split(b" ")
-                rows.setdefault((group, len(parts)), []).append(parts)
-            at = [positions(g, *(word_hashes(pa.array(place, pa.binary())) for place in zip(*found)))
-                  for (g, _), found in rows.items()]
-            if at:
-                bits = np.unique(np.concatenate(at))
-                yield pa.RecordBatch.from_arrays([pa.array(bits >> 15), pa.array(bits & 32767)], ["block", "bit"])
-
-    blocks = (phrases.select(group_col, phrase_col).mapInArrow(run, "block long, bit long")
+            at = np.unique(bit_of(batch.column(0).to_numpy().view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 15), pa.array(at & 32767)], ["block", "bit"])
+
+    blocks = (keys.select("key").mapInArrow(run, "block long, bit long")
               .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
     out = np.zeros(1 << (BITS - 3), np.uint8)
     for r in blocks:  # at most 2 ** (BITS - 15) rows of 4 kB
         out[r["block"] * 4096:(r["block"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
-    return spark.sparkContext.broadcast(out)
+    return keys.sparkSession.sparkContext.broadcast(out)
 
 
-def marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+def word_keys(words: DataFrame) -> DataFrame:
+    """Keys of the words (shard, lang, phrase)."""
+
+    def run(batches):
+        for batch in batches:
+            by_lang: dict[str, list[int]] = {}
+            for i, lang in enumerate(batch.column(1).to_pylist()):
+                by_lang.setdefault(lang, []).append(i)
+            shard = batch.column(0).to_numpy().astype(np.uint64)
+            phrases = batch.column(2).cast(pa.binary())
+            for lang, rows in by_lang.items():
+                h = phrase_hashes(lang, word_hashes(phrases.take(pa.array(rows)))) | shard[rows]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["key"])
+
+    return words.select("shard", "lang", "phrase").mapInArrow(run, "key long")
 
 
 def _phrases(words: pa.Array, *places: np.ndarray) -> pa.Array:
@@ -127,13 +147,6 @@ def _phrases(words: pa.Array, *places: np.ndarray) -> pa.Array:
     return joined.cast(pa.string())
 
 
-def mine_words(data: bytes, group: str, bits: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    ids, words = numbered(data)
-    counts = np.bincount(ids[ids >= 0], minlength=len(words))
-    used = np.flatnonzero(counts)
-    yield _phrases(words, used), counts[used]
-
-
 def _pairs(ids: np.ndarray, n_words: int, usable: np.ndarray):
     """Pairs of adjacent usable words: (first, second, count) and each place's pair (-1: none)."""
     a, b = ids[:-1], ids[1:]
@@ -152,28 +165,37 @@ def _triples(ids: np.ndarray, n_words: int, pair: np.ndarray, usable: np.ndarray
     return codes // n_words, codes % n_words, counts
 
 
-def mine_pairs(data: bytes, group: str, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Pairs of frequent words."""
+def mine_words(data: bytes, lang: str, shard: int, bits) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    ids, words = numbered(data)
+    counts = np.bincount(ids[ids >= 0], minlength=len(words))
+    used = np.flatnonzero(counts)
+    yield _phrases(words, used), counts[used]
+
+
+def mine_pairs(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Keys of the pairs of frequent words."""
     ids, words = numbered(data)
     if len(ids) > 1:
-        usable = marked(bits, positions(group, word_hashes(words)))
+        h = word_hashes(words)
+        usable = marked(bits, phrase_hashes(lang, h) | np.uint64(shard))
         first, second, counts, _ = _pairs(ids, len(words), usable)
-        yield _phrases(words, first, second), counts
+        yield pa.array((phrase_hashes(lang, h[first], h[second]) | np.uint64(shard)).view(np.int64)), counts
 
 
-def mine_triples(data: bytes, group: str, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Triples of frequent pairs."""
+def mine_triples(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Keys of the triples of frequent pairs."""
     ids, words = numbered(data)
     if len(ids) > 2:
         h = word_hashes(words)
         first, second, _, pair = _pairs(ids, len(words), np.ones(len(words), bool))
         if len(first):
-            frequent = marked(bits, positions(group, h[first], h[second]))
+            frequent = marked(bits, phrase_hashes(lang, h[first], h[second]) | np.uint64(shard))
             p, third, counts = _triples(ids, len(words), pair, frequent)
-            yield _phrases(words, first[p], second[p], third), counts
+            keys = phrase_hashes(lang, h[first[p]], h[second[p]], h[third]) | np.uint64(shard)
+            yield pa.array(keys.view(np.int64)), counts
 
 
-def count_candidates(data: bytes, group: str, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def count_candidates(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Candidate pairs, and candidate triples (whose pairs are candidates)."""
     ids, words = numbered(data)
     if len(ids) < 2:
@@ -182,70 +204,81 @@ def count_candidates(data: bytes, group: str, bits: np.ndarray) -> Iterator[tupl
     first, second, counts, pair = _pairs(ids, len(words), np.ones(len(words), bool))
     if not len(first):
         return
-    wanted = marked(bits, positions(group, h[first], h[second]))
+    wanted = marked(bits, phrase_hashes(lang, h[first], h[second]))
     yield _phrases(words, first[wanted], second[wanted]), counts[wanted]
     if len(ids) > 2:
         p, third, counts = _triples(ids, len(words), pair, wanted)
-        wanted = marked(bits, positions(group, h[first[p]], h[second[p]], h[third]))
+        wanted = marked(bits, phrase_hashes(lang, h[first[p]], h[second[p]], h[third]))
         p, third = p[wanted], third[wanted]
         yield _phrases(words, first[p], second[p], third), counts[wanted]
 
 
-def counted(texts: DataFrame, group_col: str, mine: Callable, bits=None) -> DataFrame:
-    """``group_col``, phrase and c: what ``mine`` finds in the slices of each group, added up."""
+def found(texts: DataFrame, group: tuple[str, ...], mine: Callable, out: str, bits=None) -> DataFrame:
+    """The columns ``group`` (of lang, shard and others), what ``mine`` finds in the slices of each
+    group (``out``, a DDL column) and its count c there."""
+    schema = ", ".join([f"{c} {texts.schema[c].dataType.simpleString()}" for c in group] + [out, "c long"])
+    names = [*group, out.split()[0], "c"]
 
     def run(batches):
         for batch in batches:
-            by_group: dict[str, list[int]] = {}
-            for i, group in enumerate(batch.column(0).to_pylist()):
-                by_group.setdefault(group, []).append(i)
-            bodies = batch.column(1)
-            for group, rows in by_group.items():
+            by_group: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(batch.column(j).to_pylist() for j in range(len(group))))):
+                by_group.setdefault(key, []).append(i)
+            bodies = batch.column(len(group))
+            for key, rows in by_group.items():
+                named = dict(zip(group, key))
                 for data in slices(bodies[i].as_py() for i in rows):
-                    for phrases, counts in mine(data, group, bits.value if bits is not None else None):
+                    for values, counts in mine(data, named["lang"], named.get("shard", 0),
+                                               bits.value if bits is not None else None):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(pa.scalar(group, pa.string()), len(phrases)), phrases,
-                             pa.array(counts, pa.int64())], [group_col, "phrase", "c"])
+                            [*(pa.repeat(pa.scalar(v, batch.schema.field(j).type), len(values))
+                               for j, v in enumerate(key)), values, pa.array(counts, pa.int64())], names)
 
-    return (texts.select(group_col, "__body").mapInArrow(run, f"{group_col} string, phrase string, c long")
-            .groupBy(group_col, "phrase").agg(F.sum("c").alias("c")))
+    return texts.select(*group, "__body").mapInArrow(run, schema)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
                      shards: int = SHARDS, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All phrases of two or three words with at least ``support`` occurrences in a
     language (lang, phrase, c), the words with as many, and the words of each language (lang, n)."""
+    if not 0 < shards <= SHARD_BITS + 1:
+        raise ValueError(f"shards must be 1 to {SHARD_BITS + 1}")
     scratch = scratch or Scratch(docs.sparkSession, "phrases")
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
+                        F.pmod(F.xxhash64(F.col(lang_col).cast("string"), text_col), F.lit(shards)).cast("int").alias("shard"),
                         F.col(text_col).alias("__body"))
-    texts = texts.withColumn("shard", F.concat(F.pmod(F.xxhash64("lang", "__body"), F.lit(shards)).cast("string"),
-                                               F.lit(":"), F.col("lang")))
-    lang = F.expr("substring(shard, instr(shard, ':') + 1)")
 
-    words = scratch.save(counted(texts, "shard", mine_words), "words")
-    sizes = scratch.save(words.groupBy("shard").agg(F.sum("c").alias("m")).withColumn("lang", lang), "sizes")
+    words = scratch.save(found(texts, ("shard", "lang"), mine_words, "phrase string")
+                         .groupBy("shard", "lang", "phrase").agg(F.sum("c").alias("c")), "words")
+    sizes = scratch.save(words.groupBy("shard", "lang").agg(F.sum("c").alias("m")), "sizes")
     totals = scratch.save(sizes.groupBy("lang").agg(F.sum("m").alias("n")), "totals")
+    group = lambda: F.concat(F.col("shard").cast("string"), F.lit(":"), F.col("lang"))
     # ceil(support * share), in integers
     need = scratch.save(sizes.join(totals, "lang").select(
-        F.col("shard").alias("__shard"), F.expr(f"({support} * m + n - 1) div n").alias("__need")), "need")
+        group().alias("__group"), F.expr(f"({support} * m + n - 1) div n").alias("need")), "need")
+
+    def with_need(rows: DataFrame, salt_by: list[str]) -> DataFrame:
+        return lookup_join(rows.withColumn("__g", group()), need, "__g", "__group", "inner", salt_by=salt_by) \
+            .drop("__g", "__group")
 
-    def local(counts: DataFrame) -> DataFrame:
-        return lookup_join(counts, need, "shard", "__shard", "inner").filter("c >= __need").drop("__shard", "__need")
+    def frequent_keys(mine: Callable, bits, name: str) -> DataFrame:
+        rows = found(with_need(texts, ["__body"]), ("lang", "shard", "need"), mine, "key long", bits).drop("lang", "shard")
+        return scratch.save(rows.groupBy("key", "need").agg(F.sum("c").alias("c")).filter("c >= need").select("key"), name)
 
-    seen = bitmap(local(words), "shard")
-    pairs = scratch.save(local(counted(texts, "shard", mine_pairs, seen)).select("shard", "phrase"), "pairs")
+    seen = bitmap(word_keys(with_need(words, ["phrase"]).filter("c >= need")))
+    pairs = frequent_keys(mine_pairs, seen, "pairs")
     seen.unpersist()
-    seen = bitmap(pairs, "shard")
-    triples = scratch.save(local(counted(texts, "shard", mine_triples, seen)).select("shard", "phrase"), "triples")
+    seen = bitmap(pairs)
+    triples = frequent_keys(mine_triples, seen, "triples")
     seen.unpersist()
-    union = scratch.save(pairs.union(triples).select(lang.alias("lang"), "phrase").distinct(), "union")
+    seen = bitmap(pairs.union(triples).select(F.col("key").bitwiseAND(F.lit(~SHARD_BITS).cast("long")).alias("key")))
     scratch.drop("pairs", "triples", "sizes", "need")
-    seen = bitmap(union, "lang")
-    exact = counted(texts, "lang", count_candidates, seen).filter(F.col("c") >= support)
-    phrases = scratch.save(exact.join(union, ["lang", "phrase"], "left_semi"), "phrases")
-    frequent_words = scratch.save(words.groupBy(lang.alias("lang"), "phrase").agg(F.sum("c").alias("c"))
+    exact = (found(texts, ("lang",), count_candidates, "phrase string", seen)
+             .groupBy("lang", "phrase").agg(F.sum("c").alias("c")).filter(F.col("c") >= support))
+    phrases = scratch.save(exact, "phrases")
+    frequent_words = scratch.save(words.groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
                                   .filter(F.col("c") >= support), "frequent_words")
-    scratch.drop("words", "union")
+    scratch.drop("words")
     return phrases, frequent_words, totals
 
 

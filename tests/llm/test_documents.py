@@ -144,9 +144,10 @@ def test_token_files_round_trip(spark):
         ids = np.frombuffer(e.encode(r[1] or ""), "<u4").tolist() + [2]
         want.append((r[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    got = op4_tokens.token_offsets(spark, path).join(op4_tokens.token_digests(spark, path), ["part", "row"])
+    got = op4_tokens.token_offsets(spark, path).drop("n_tokens", "doc_id").join(
+        op4_tokens.token_digests(spark, path), ["part", "row"])
     key = lambda r: (r[1],)
-    assert sorted([(r["doc_id"], r["start"], r["n_ids"], r["ids_crc32"]) for r in got.collect()], key=key) == want
+    assert sorted([(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()], key=key) == want
     assert op4_tokens.read_tokens(spark, path, ("lang", "n_tokens")).count() == len(AWKWARD)
     with pytest.raises(ValueError):
         op4_tokens.encode_documents(frame(spark).withColumnRenamed("extra", "ids"), vocabulary, 2, metadata=("ids",))
@@ -155,6 +156,19 @@ def test_token_files_round_trip(spark):
     assert op4_tokens.token_offsets(spark, empty).count() == 0
 
 
+def test_starts_follow_the_numbers_of_files(spark):
+    names = ["part-00007-u-c000.zstd.parquet", "part-99999-u-c000.zstd.parquet", "part-99999-u-c001.zstd.parquet",
+             "part-100000-u-c000.zstd.parquet", "part-100001-u-c000.zstd.parquet"]
+    df = spark.createDataFrame([(n, r, 10 ** i) for i, n in enumerate(names) for r in (0, 1)],
+                               "part string, row long, n_tokens long")
+    got = {(r["part"], r["row"]): r["start"] for r in op4_tokens.with_starts(df).collect()}
+    at = 0
+    for i, n in enumerate(names):
+        for r in (0, 1):
+            assert got[n, r] == at
+            at += 10 ** i
+
+
 def check_windows(rows, docs, size=1024):
     e = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     ids = [np.frombuffer(e.encode(t or ""), "<u4").tolist() + [0] for t in docs]
