@@ -16,10 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The entity rules, in priority order (earlier wins a tie).
 RULES = (
@@ -36,34 +34,31 @@ BORDERED = ("IP", "CARD", "KEY")
 LINEAR = {"EMAIL": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
 
 
-def keep_first(rows: DataFrame, part: Sequence[str], order: list, begin: str, end: str,
-               out_col: str = "__kept") -> DataFrame:
-    """Flag the matches that do not overlap an earlier *kept* one.
+def keep_first(rows: DataFrame, part: Sequence[str], order: Sequence[Column], begin: str, end: str) -> DataFrame:
+    """The matches that do not overlap an earlier *kept* one, taken in ``order``
+    (ascending columns that begin with ``begin``) inside ``part``.
 
-    Rows are swept in ``order`` inside ``part`` (both set up by a window, so
-    nothing is shuffled that already lies right); only the end of the last kept
-    match is carried.  Rows with a NULL ``end`` are no match and not kept.
+    Matches are first cut into runs that overlap nothing outside themselves (one
+    running maximum); a run is then folded as a sorted array that carries the end
+    of the last kept match.  Runs are short where matches seldom overlap, and
+    their group-by re-uses the partitioning of the window before it.
     """
-    cols = rows.columns
-    schema = T.StructType([*rows.schema, T.StructField(out_col, T.BooleanType())])
-    start = F.row_number().over(Window.partitionBy(*part).orderBy(*order)) == 1
-
-    def sweep(batches):
-        last = -1
-        for batch in batches:
-            names = batch.schema.names
-            kept = [False] * batch.num_rows
-            firsts = batch.column(names.index("__first")).to_pylist()
-            begins = batch.column(names.index(begin)).to_pylist()
-            for i, (first, a, z) in enumerate(zip(firsts, begins, batch.column(names.index(end)).to_pylist())):
-                if first:
-                    last = -1
-                if z is not None and a > last:
-                    kept[i], last = True, z
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(names.index(c)) for c in cols), pa.array(kept, pa.bool_())], [*cols, out_col])
-
-    return rows.withColumn("__first", start).mapInArrow(sweep, schema)
+    before = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.coalesce(F.col(begin) > F.max(end).over(before), F.lit(True))
+    runs = rows.withColumn("__opens", opens.cast("int")).withColumn("__run", F.sum("__opens").over(run))
+    values = [c for c in rows.columns if c not in part]
+    item = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *values)
+    folded = runs.groupBy(*part, "__run").agg(F.sort_array(F.collect_list(item)).alias("__m"))
+    first = F.get("__m", F.lit(0))
+    start = F.struct(first[end].alias("last"), F.array(first).alias("kept"))
+    kept = F.aggregate(
+        F.slice("__m", 2, F.greatest(F.size("__m") - 1, F.lit(0))), start,
+        lambda acc, x: F.when(x[begin] > acc["last"], F.struct(
+            x[end].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc))["kept"]
+    one = F.when(F.size("__m") == 1, F.col("__m")).otherwise(kept)
+    return folded.select(*part, F.explode(one).alias("__k")).select(
+        *[F.col(c) if c in part else F.col(f"__k.{c}") for c in rows.columns])
 
 
 def rule_spans(docs: DataFrame, id_col: str, text_col: str,
@@ -107,8 +102,7 @@ def rule_spans(docs: DataFrame, id_col: str, text_col: str,
     spans = spans.filter(ok).withColumn("end", (F.col("begin") + F.length("result") - 1).cast("int"))
     spans = spans.select(id_col, "begin", "end", "result", "entity", "priority")
     if resolve:
-        spans = keep_first(spans, [id_col], [F.col("begin"), F.col("end").desc(), F.col("priority")],
-                           "begin", "end").filter("__kept").drop("__kept")
+        spans = keep_first(spans, [id_col], [F.col("begin"), -F.col("end"), F.col("priority")], "begin", "end")
     return spans
 
 

@@ -163,6 +163,26 @@ def rank_key(score) -> "F.Column":
     return F.round(F.log(F.col(score) if isinstance(score, str) else score), 6)
 
 
+def distinct_keywords(kw: DataFrame, id_col: str, k: int | None = 10, similarity: float = 0.9) -> DataFrame:
+    """The last step of the published method: of nearly equal keywords of a document only
+    the best stays.  Keywords are taken best first, each unless its similarity
+    ``1 - edit distance / longer length`` to one taken before is above
+    ``similarity``, until ``k`` are taken.
+
+    One group-by per document; the fold over its sorted keywords carries what it has
+    taken, and stops comparing once that is ``k``.
+    """
+    item = F.struct(rank_key("score").alias("r"), F.col("keyword"), F.col("n"), F.col("score"))
+    packed = kw.groupBy(id_col).agg(F.sort_array(F.collect_list(item)).alias("__k"))
+    kind = packed.schema["__k"].dataType
+    near = lambda a, b: (1 - F.levenshtein(a["keyword"], b["keyword"])
+                         / F.greatest(F.length(a["keyword"]), F.length(b["keyword"]))) > F.lit(similarity)
+    full = (lambda taken: F.size(taken) >= k) if k is not None else (lambda taken: F.lit(False))
+    taken = F.aggregate("__k", F.array().cast(kind), lambda acc, x: F.when(
+        full(acc) | F.exists(acc, lambda a: near(a, x)), acc).otherwise(F.concat(acc, F.array(x))))
+    return packed.select(id_col, F.explode(taken).alias("__t")).select(id_col, "__t.keyword", "__t.n", "__t.score")
+
+
 def top_k(df: DataFrame, part: str, order: list, k: int) -> DataFrame:
     """Best ``k`` rows per ``part`` by ascending ``order`` (row_number <= k)."""
     w = Window.partitionBy(part).orderBy(*order)

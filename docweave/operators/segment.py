@@ -23,6 +23,7 @@ document.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.schema import ANNOTATION
+from docweave.session import checkpoint_dir
 
 # The rule set for sentences and tokens (ours, not a library's).
 SENTENCE_BREAK = r"([.!?]+\s+|\n+)"
@@ -86,12 +88,50 @@ def _offsets(pieces: DataFrame, part: Sequence[str], base: Column | None = None)
     return pieces.withColumn("begin", begin.cast("int"))
 
 
+# Words with inner periods, and the period behind them if there is one.
+DOTTED_WORD = r"\p{L}+(?:\.\p{L}+)*\.?"
+#: Score from which a word counts as an abbreviation.
+ABBREVIATION_SCORE = 0.3
+
+
+def abbreviation_scores(df: DataFrame, text_col: str) -> DataFrame:
+    """(word, n, n_dot, score) of every lower-cased word that a period follows somewhere.
+
+    The score is the log-likelihood ratio of "a period follows this word almost always
+    (0.99)" against "as often as any word", less for long words and for each
+    occurrence without a period, more for inner periods.  Counting is one hash
+    aggregate over the texts; the corpus totals are one row.
+    """
+    checkpoint_dir(df.sparkSession)
+    hit = df.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(DOTTED_WORD), 0)).alias("__h"))
+    counts = (hit.groupBy(F.lower(F.rtrim("__h", F.lit("."))).alias("word"))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("__h").endswith(".").cast("long")).alias("n_dot")))
+    counts = counts.checkpoint(eager=True)
+    n, dots = counts.agg(F.sum("n"), F.sum("n_dot")).first()
+    share = min(max((dots or 0) / (n or 1), 1e-12), 1 - 1e-12)
+    bare = F.length(F.replace("word", F.lit("."), F.lit("")))
+    without = F.col("n") - F.col("n_dot")
+    ratio = 2 * (F.col("n_dot") * F.lit(math.log(0.99) - math.log(share))
+                 + without * F.lit(math.log(0.01) - math.log(1 - share)))
+    score = (ratio * F.exp(-bare) * (F.length("word") - bare + 1) * F.exp(-without * F.log(bare.cast("double"))))
+    return counts.filter("n_dot > 0").select("word", "n", "n_dot", score.alias("score"))
+
+
+def learn_abbreviations(df: DataFrame, text_col: str, threshold: float = ABBREVIATION_SCORE,
+                        max_words: int = 1000) -> list[str]:
+    """The abbreviations of a corpus for ``split_sentences(..., ignore_case=True)``: at most
+    ``max_words`` (the highest scores), as they become one pattern."""
+    best = (abbreviation_scores(df, text_col).filter(F.col("score") >= threshold)
+            .orderBy(F.desc("score"), "word").limit(max_words))
+    return sorted(r["word"] for r in best.collect())
+
+
 def split_sentences(df: DataFrame, id_col: str, text_col: str,
-                    abbreviations: Sequence[str] = ABBREVIATIONS) -> DataFrame:
+                    abbreviations: Sequence[str] = ABBREVIATIONS, ignore_case: bool = False) -> DataFrame:
     """Sentences with offsets: (id, sentence, begin, end, result).
 
     A break follows a run of ``.!?`` plus whitespace, or a run of newlines,
-    except after an abbreviation.  Leading/trailing whitespace is trimmed from
+    except after an abbreviation (a fixed list, or ``learn_abbreviations``).  Leading/trailing whitespace is trimmed from
     each sentence (offsets follow), blank pieces are dropped and sentences are
     numbered from 0 in text order.
     """
@@ -100,8 +140,11 @@ def split_sentences(df: DataFrame, id_col: str, text_col: str,
         marked = F.replace(marked, F.lit(char), F.lit(code))
     marked = F.regexp_replace(marked, SENTENCE_BREAK, "$1" + MARK)
     if abbreviations:
-        abbr = "|".join(abbreviations)
-        marked = F.regexp_replace(marked, rf"(^|[^\p{{L}}])({abbr})\.(\s+){MARK}", "$1$2.$3")
+        abbr = "|".join(a.replace(".", r"\.") for a in abbreviations)
+        case = "(?iu)" if ignore_case else ""
+        # twice: of neighbouring abbreviations the first takes the blank before the second
+        for _ in range(2):
+            marked = F.regexp_replace(marked, rf"{case}(^|[^\p{{L}}])({abbr})\.(\s+){MARK}", "$1$2.$3")
     pieces = df.select(F.col(id_col), F.posexplode(F.split(marked, MARK)).alias("pos", "piece"))
     piece = F.col("piece")
     for char, code in reversed(ESCAPES):

@@ -14,8 +14,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.operators import entities, keywords as kw, reshape, segment, select
+from docweave.operators import context_tags, entities, keywords as kw, reshape, segment, select, sequence, vectors
 from docweave.session import checkpoint_dir
+from docweave.sources import epochs, files
+
 
 @dataclass
 class BodyParams:
@@ -26,6 +28,10 @@ class BodyParams:
     context_chars: str = segment.CONTEXT_CHARS
     rules: tuple = entities.RULES
     extra_entities: object = None  # optional callable(docs, id, text, sentences) -> spans
+    pos_model: object = None       # context_tags.ContextModel: part of speech of every token
+    vocabulary: object = None      # (token, vector) table: vectors of tokens and sentences
+    dim: int = 64
+    tagger: object = None          # sequence.ChainModel: entities by the model instead of the rules
 
 
 def _fold(df: DataFrame, id_col: str, order: list, value: str, out: str) -> DataFrame:
@@ -34,24 +40,45 @@ def _fold(df: DataFrame, id_col: str, order: list, value: str, out: str) -> Data
     return df.groupBy(id_col).agg(F.transform(parts, lambda s: s["v"]).alias(out))
 
 
+def featured_tokens(tokens: DataFrame, id_col: str, p: BodyParams) -> DataFrame:
+    """Tokens with ``pos_tag`` and ``embedding``, as far as the models are given."""
+    if p.pos_model is not None:
+        tokens = context_tags.tag_in_context(tokens, p.pos_model, id_col, out_col="pos_tag")
+    if p.vocabulary is not None:
+        tokens = vectors.embed_tokens(tokens, p.vocabulary, p.dim)
+    return tokens
+
+
 def annotate_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | None = None) -> dict:
     """Long-form annotation tables of a document-partitioned frame:
-    sentences, tokens, entity spans (with sentence) and keywords."""
+    sentences, tokens, entity spans (with sentence) and keywords; with their models also
+    ``features`` (tokens with part of speech and vector) and ``vectors`` (of
+    sentences), and entities by the chain tagger on those features."""
     p = p or BodyParams()
     sentences = segment.split_sentences(docs, id_col, text_col)
     tokens = segment.tokenize_sentences(sentences, id_col, p.context_chars)
-    spans = entities.rule_spans(docs, id_col, text_col, p.rules)
-    spans = entities.assign_sentences(spans, sentences, id_col)
+    out = {"sentences": sentences, "tokens": tokens}
+    if p.pos_model is not None or p.vocabulary is not None or p.tagger is not None:
+        out["features"] = featured_tokens(segment.tokenize_sentences(sentences, id_col), id_col, p)
+    if p.vocabulary is not None:
+        out["vectors"] = vectors.sentence_vectors(out["features"], id_col, p.dim)
+    if p.tagger is not None:
+        tagged = sequence.tag_chain(out["features"], p.tagger, id_col)
+        spans = entities.entity_chunks(tagged, docs, id_col, text_col).withColumn("priority", F.lit(0))
+    else:
+        spans = entities.rule_spans(docs, id_col, text_col, p.rules)
+        spans = entities.assign_sentences(spans, sentences, id_col)
     if p.extra_entities is not None:
         spans = spans.unionByName(p.extra_entities(docs, id_col, text_col, sentences))
     keys = kw.keywords(tokens, id_col, p.min_n, p.max_n, p.k, p.threshold)
-    return {"sentences": sentences, "tokens": tokens, "entities": spans, "keywords": keys}
+    return out | {"entities": spans, "keywords": keys}
 
 
 def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | None = None,
                 partitions: int | None = None, keep_layout: bool = False) -> DataFrame:
     """Add ``sentences``, ``entities`` and ``keywords`` (array<string>) to each
-    document row.  Documents with no entity / keyword get an empty array.
+    document row, and ``pos`` (the tokens' parts of speech) with a ``pos_model``.
+    Documents with no entity / keyword get an empty array.
 
     The text is hash-partitioned once as (id, text): every annotation branch
     and the output read that one exchange (identical plans are reused).  The
@@ -68,12 +95,24 @@ def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | Non
     if others:
         meta = segment.by_document(docs.select(id_col, *others), id_col, partitions, keep_layout)
         out = out.join(meta.withColumnRenamed(id_col, "__k"), F.col(id_col) == F.col("__k"), "left").drop("__k")
-    for t in (sent, ents, keys):
+    folds = {"sentences": sent, "entities": ents, "keywords": keys}
+    if p is not None and p.pos_model is not None:
+        folds["pos"] = _fold(a["features"], id_col, [F.col("begin")], "pos_tag", "pos")
+    for t in folds.values():
         t = t.withColumnRenamed(id_col, "__k")
         out = out.join(t, F.col(id_col) == F.col("__k"), "left").drop("__k")
     empty = F.array().cast("array<string>")
-    return out.select(*docs.columns, *[F.coalesce(c, empty).alias(c)
-                                       for c in ("sentences", "entities", "keywords")])
+    return out.select(*docs.columns, *[F.coalesce(c, empty).alias(c) for c in folds])
+
+
+def index_row(enriched: DataFrame, work: tuple[str, ...] = ("body_text", "source_id", "index_date")) -> DataFrame:
+    """Enriched rows as the index takes them: work columns dropped, and nothing but
+    scalars and array<string> left."""
+    out = enriched.drop(*work)
+    for f in out.schema.fields:
+        if not files.index_ready(f.dataType):
+            raise ValueError(f"column {f.name} ({f.dataType.simpleString()}) is not index-ready")
+    return out
 
 
 def enrich_title(docs: DataFrame, id_col: str, title_col: str, k: int = 3,
@@ -110,16 +149,17 @@ def enrich_batch(content: DataFrame, source: DataFrame, min_size: int | None = 1
 
 
 def entity_job(content: DataFrame, min_size: int | None = 1000, max_size: int | None = 10000,
-               types=None, partitions: int | None = None, keep_layout: bool = False) -> dict:
-    """Entity table, per-type pivot and the pivot re-joined to the rows.
+               types=None, partitions: int | None = None, keep_layout: bool = False,
+               params: BodyParams | None = None) -> dict:
+    """Entity table, per-type pivot and the pivot re-joined to the rows.  Entities come
+    from the rules, or with a ``tagger`` in ``params`` from the model.
 
     Returns lazy frames ``table``, ``pivot``, ``rows``; ``save_both`` writes
     two of them from one persisted annotation.
     """
     df = select.filter_size(content, "structure_size", min_size, max_size)
     df = segment.by_document(df, "id", partitions, keep_layout)
-    sentences = segment.split_sentences(df, "id", "body_text")
-    spans = entities.assign_sentences(entities.rule_spans(df, "id", "body_text"), sentences, "id")
+    spans = annotate_body(df, "id", "body_text", params)["entities"]
     table = reshape.entity_table(spans, "id")
     types = sorted(types or [n for n, _ in entities.RULES])
     pivot = reshape.pivot_entities(table, types)
@@ -178,6 +218,15 @@ def save_both(annotated: DataFrame, index_rows, table_rows, index_sink: Sink, ta
             shared.unpersist()
 
 
+def publish_both(annotated: DataFrame, index_rows, table_rows, base: str) -> str:
+    """G6 as one epoch below ``base`` (see ``sources.epochs``): readers of the index rows
+    and of the entity table see the same run, or the one before."""
+    spark = annotated.sparkSession
+    checkpoint_dir(spark)
+    shared = annotated.checkpoint(eager=True)
+    return epochs.publish(spark, base, {"index": index_rows(shared), "table": table_rows(shared)})
+
+
 def explain_documents(docs: DataFrame, id_col: str, text_col: str, tag_model) -> DataFrame:
     """T14 preset: sentence-scoped tokens, their normal form and POS tag, folded
     to one row per document (tokens / normalized / pos as space-joined text)."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docweave.operators import segment, tags, vectors
+from docweave.operators import factorise, segment, tags, vectors
 from docweave.plans import jobs, sql
 from docweave.plans.q_text import docs
 from docweave.plans.registry import query
@@ -97,7 +97,7 @@ select doc_id, sentence, pos, result, tag from {_gaz_sql(sql.tokens('documents',
 where tag <> 'O'""")
 def q_gazetteer_tags(spark, sf):
     toks = segment.tokenize(docs(spark, sf), "doc_id", "text", scope="sentence")
-    out = tags.gazetteer_tags(toks, bench_dictionary(spark, sf), "doc_id", 3)
+    out = tags.gazetteer_tags(toks, bench_dictionary(spark, sf), "doc_id")
     return out.filter(F.col("tag") != "O").select("doc_id", "sentence", "pos", "result", "tag")
 
 
@@ -107,7 +107,7 @@ def q_gazetteer_chunks(spark, sf):
     from docweave.operators import entities
     d = docs(spark, sf)
     toks = segment.tokenize(d, "doc_id", "text", scope="sentence")
-    tagged = tags.gazetteer_tags(toks, bench_dictionary(spark, sf), "doc_id", 3)
+    tagged = tags.gazetteer_tags(toks, bench_dictionary(spark, sf), "doc_id")
     return entities.entity_chunks(tagged, d, "doc_id", "text")
 
 
@@ -173,10 +173,55 @@ def q_sentence_vectors(spark, sf):
                      F.round(F.col("vector")[0], 4).alias("v0"))
 
 
+_PAIRS = f"""(with t as (select doc_id, sentence, pos, case when regexp_matches(result, '\\p{{L}}') then lower(result) end as w
+    from {sql.tokens('documents', scope='sentence')}),
+  k as (select w from t where w is not null group by w having count(*) >= 5),
+  p as (select a.w as a, b.w as b from t a join t b on a.doc_id = b.doc_id and a.sentence = b.sentence
+        and b.pos between a.pos + 1 and a.pos + 4),
+  d as (select a as token, b as context from p union all select b, a from p)
+  select token, context, count(*) as n from d where token in (select w from k) and context in (select w from k)
+  group by all)"""
+
+
+def word_pairs(spark, sf):
+    toks = segment.tokenize(docs(spark, sf), "doc_id", "text", scope="sentence")
+    return factorise.cooccurrence(toks, "doc_id", window=4, min_count=5)
+
+
+@query("ppmi", f"""
+with c as {_PAIRS}, m as (select token, sum(n) as m from c group by token)
+select c.token, c.context, c.n, round(ln(c.n * (select sum(n) from c)::double / x.m / y.m), 6) as ppmi
+from c join m x on x.token = c.token join m y on y.token = c.context
+where ln(c.n * (select sum(n) from c)::double / x.m / y.m) > 0""")
+def q_ppmi(spark, sf):
+    return factorise.ppmi(word_pairs(spark, sf)).withColumn("ppmi", F.round("ppmi", 6))
+
+
 @query("word_vectors", None)
 def q_word_vectors(spark, sf):
-    toks = segment.tokenize(docs(spark, sf), "doc_id", "text", scope="sentence")
-    return vectors.fit_vocabulary(toks.filter(F.col("result").rlike(r"\p{L}")), "doc_id", dim=16, min_count=5)
+    return factorise.factorise(factorise.ppmi(word_pairs(spark, sf)), dim=16)
+
+
+_SHARES = f"(select token, n / sum(n) over () as p from (select lower(result) as token, count(*) as n from {_EMBEDDED} group by 1))"
+
+
+@query("weighted_sentence_vectors", f"""
+select doc_id, sentence, n_tokens, round(list_sum(vector), 4) as vsum, round(vector[1], 4) as v0 from (
+  select doc_id, sentence, max(n) as n_tokens, list(v order by dim) as vector from (
+    select doc_id, sentence, dim, avg(0.001 / (0.001 + p) * x) as v, count(*) as n from (
+      select doc_id, sentence, p, unnest(embedding) as x, generate_subscripts(embedding, 1) as dim
+      from {_EMBEDDED} e join {_SHARES} s on s.token = lower(e.result)) group by doc_id, sentence, dim)
+  group by doc_id, sentence)""")
+def q_weighted_sentence_vectors(spark, sf):
+    sv = factorise.weighted_means(embedded(spark, sf), "doc_id", 64)
+    return sv.select("doc_id", "sentence", "n_tokens",
+                     F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 4).alias("vsum"),
+                     F.round(F.col("vector")[0], 4).alias("v0"))
+
+
+@query("smooth_sentence_vectors", None)
+def q_smooth_sentence_vectors(spark, sf):
+    return factorise.smooth_sentence_vectors(embedded(spark, sf), "doc_id", 64)
 
 
 # --- T12 trained tagger -----------------------------------------------------

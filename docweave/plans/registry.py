@@ -27,5 +27,6 @@ def query(name: str, sql: str | None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules registers their queries
-    from docweave.plans import q_entities, q_io, q_jobs, q_keywords, q_models, q_relational, q_text  # noqa: F401
+    from docweave.plans import (q_entities, q_io, q_jobs, q_keywords, q_models, q_relational, q_sequence,  # noqa: F401
+                                q_text)
     return REGISTRY

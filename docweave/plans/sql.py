@@ -17,13 +17,27 @@ SOURCE = """(select cast(substr(source, 4, 10) as integer) as id, source as labe
    from (select distinct source from documents) where source <> 'src19')"""
 
 
-def sentences(src: str, id_col: str = "doc_id", text: str = "text") -> str:
-    """Sentence rows (id, sentence, begin, end, result) of ``src`` in DuckDB."""
+def abbreviation_scores(src: str, text: str = "text") -> str:
+    """(word, n, n_dot, score) of the words a period follows, in DuckDB."""
+    return f"""(with h as (select unnest(regexp_extract_all({text}, '\\p{{L}}+(?:\\.\\p{{L}}+)*\\.?')) as h from {src}),
+  c as (select lower(rtrim(h, '.')) as word, count(*) as n, count(*) filter (where h like '%.') as n_dot from h group by 1),
+  t as (select sum(n_dot) / sum(n) as p from c),
+  b as (select *, length(replace(word, '.', '')) as bare from c where n_dot > 0)
+  select word, n, n_dot, 2 * (n_dot * (ln(0.99) - ln(p)) + (n - n_dot) * (ln(0.01) - ln(1 - p)))
+         * exp(-bare) * (length(word) - bare + 1) * exp(-(n - n_dot) * ln(bare)) as score from b, t)"""
+
+
+def sentences(src: str, id_col: str = "doc_id", text: str = "text", learned: str | None = None) -> str:
+    """Sentence rows (id, sentence, begin, end, result) of ``src`` in DuckDB;
+    ``learned`` is a scalar query for the pattern of learned abbreviations."""
     from docweave.operators.segment import ABBREVIATIONS, SENTENCE_BREAK
     abbr = "|".join(ABBREVIATIONS)
+    unbroken = f"'(^|[^\\p{{L}}])({abbr})\\.(\\s+)'"
+    if learned:
+        unbroken = f"'(?i)(^|[^\\p{{L}}])(' || {learned} || ')\\.(\\s+)'"
     return f"""(with m as (
-    select {id_col}, regexp_replace(regexp_replace({text}, '{SENTENCE_BREAK}', '\\1' || chr(1), 'g'),
-        '(^|[^\\p{{L}}])({abbr})\\.(\\s+)' || chr(1), '\\1\\2.\\3', 'g') as marked from {src}),
+    select {id_col}, regexp_replace(regexp_replace(regexp_replace({text}, '{SENTENCE_BREAK}', '\\1' || chr(1), 'g'),
+        {unbroken} || chr(1), '\\1\\2.\\3', 'g'), {unbroken} || chr(1), '\\1\\2.\\3', 'g') as marked from {src}),
   p as (select {id_col}, unnest(string_split(marked, chr(1))) as piece,
                generate_subscripts(string_split(marked, chr(1)), 1) as pos from m),
   o as (select {id_col}, pos, regexp_replace(piece, '^\\s+|\\s+$', '', 'g') as result,

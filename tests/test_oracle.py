@@ -11,7 +11,8 @@ from tests.conftest import SF_SMALL
 NAMES = ["source_left_join", "latest_batch", "pivot_default", "pivot_default_numeric", "zip_rows",
          "split_sentences", "tokenize_context", "rule_spans", "entity_chunks", "entity_pivot",
          "keywords_body", "keywords_title", "tag_tokens", "gazetteer_tags", "sentence_vectors",
-         "enrich_batch", "incremental_copy"]
+         "enrich_batch", "incremental_copy", "tag_transitions", "context_tags", "split_sentences_learned", "ppmi",
+         "weighted_sentence_vectors", "keywords_distinct", "save_both", "batched_sink", "index_row", "unindexed_ledger"]
 
 
 def _norm(v):
@@ -54,7 +55,8 @@ def test_every_query_has_oracle_or_is_rows_only():
     assert set(o) <= set(q)
     library = [n for n in q if not n.startswith("op") and n != "pipeline"]
     assert set(library) - set(o) == {"any_batch", "partition_spread", "partition_batches", "word_vectors",
-                                     "train_tagger"}
+                                     "train_tagger", "chain_tagger", "smooth_sentence_vectors",
+                                     "enrich_body_models", "entity_job_models"}
 
 
 def test_every_query_builds(spark):
@@ -62,6 +64,8 @@ def test_every_query_builds(spark):
     for name, fn in E.queries().items():
         if name.startswith("op") or name == "pipeline":
             continue  # these run as they build; tests/llm covers them
-        if name in ("train_tagger", "entity_tagger", "word_vectors", "conll_read", "index_export", "save_modes"):
+        if name in ("train_tagger", "entity_tagger", "word_vectors", "conll_read", "index_export", "save_modes",
+                    "chain_tagger", "enrich_body_models", "entity_job_models", "smooth_sentence_vectors",
+                    "save_both", "batched_sink"):
             continue  # these fit or write while building; covered by the oracle runs
         assert fn(spark, SF_SMALL).schema is not None, name

@@ -51,3 +51,19 @@ def test_bucketed_documents_need_no_shuffle(spark):
         assert out.count() == docs.count()
     finally:
         spark.sql(f"drop table if exists {name}")
+
+
+def test_entities_stay_in_the_jvm_and_the_documents_partitioning(spark):
+    from docweave.operators import entities, tags
+    d = segment.by_document(tb.table(spark, SF_SMALL, "documents").select("doc_id", "text"), "doc_id")
+    toks = segment.tokenize(d, "doc_id", "text", scope="sentence")
+    spans = entities.rule_spans(d, "doc_id", "text")
+    p = _plan(entities.tag_from_spans(toks, spans, "doc_id"))
+    # one exchange of the documents per branch of the union, and no Python
+    assert "InArrow" not in p and "InPandas" not in p
+    assert len(re.findall(r"Exchange hashpartitioning", p)) <= 2
+    words = spark.createDataFrame([("the of", "X"), ("and", "Y")], "phrase string, type string").checkpoint()
+    p = _plan(tags.gazetteer_tags(toks, words, "doc_id"))
+    assert "InArrow" not in p and "InPandas" not in p
+    table = jobs.entity_job(tb.content(spark, SF_SMALL))["table"]
+    assert "InArrow" not in _plan(table)
