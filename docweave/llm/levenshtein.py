@@ -1,11 +1,11 @@
-"""Levenshtein automata over a lexicon trie, determinised as words need it."""
+"""Levenshtein automata over a lexicon trie."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-#: States kept before the table is emptied and grown again (memory only).
-STATES = 50_000
+#: Beginnings of words whose states are remembered (memory only).
+BEGINNINGS, BEGINNING = 50_000, 3
 
 
 def edits_allowed(term: str) -> int:
@@ -13,20 +13,30 @@ def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
+def parts(term: str) -> list[tuple[int, str]]:
+    """The term in ``edits_allowed + 1`` pieces of about equal length, with their offsets:
+    whatever the edits, one piece is left as it is, moved by at most their number."""
+    n = edits_allowed(term) + 1
+    cuts = [len(term) * i // n for i in range(n + 1)]
+    return [(a, term[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
 class TrieAutomaton:
     """Finds the term nearest to a word among those within their allowed edits.
 
     A state of the intersection is a set of (trie node, edits so far): reading a
     character follows the edge of that name, any other edge (substitution) or none
     (insertion) for one edit; edges may be skipped (deletion) for one edit each.
-    Sets are numbered and their moves remembered, so a word costs one table look-up
-    a character until no term can follow.
+    The states behind the first characters, which are large, are remembered.  Words that hold
+    no piece of a term at its place are turned away before (pigeonhole), which
+    loses none.
     """
 
     def __init__(self, terms: Iterable[str]):
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.budget = [0]  # edits allowed to the most tolerant term below
+        self.pieces: dict[int, dict[tuple[int, int], set[str]]] = {}  # by word length, then (offset, length)
         for term in terms:
             node, allowed = 0, edits_allowed(term)
             self.budget[0] = max(self.budget[0], allowed)
@@ -40,17 +50,17 @@ class TrieAutomaton:
                 self.budget[nxt] = max(self.budget[nxt], allowed)
                 node = nxt
             self.term[node] = term
-        self._reset()
+            for at, piece in parts(term):
+                for size in range(len(term) - allowed, len(term) + allowed + 1):
+                    for offset in range(max(0, at - allowed), at + allowed + 1):
+                        self.pieces.setdefault(size, {}).setdefault((offset, len(piece)), set()).add(piece)
+        self.tests = {size: [(a, a + n, found) for (a, n), found in by_place.items()]
+                      for size, by_place in self.pieces.items()}
+        self.start = self._close({0: 0})
+        self.beginnings: dict[str, dict[int, int]] = {}
 
-    def _reset(self) -> None:
-        self.numbers: dict[frozenset, int] = {}
-        self.sets: list[dict[int, int]] = []
-        self.moves: list[dict[str, int]] = []
-        self.found: list[tuple[str, int] | None] = []
-        self.start = self._number({0: 0})
-
-    def _number(self, nodes: dict[int, int]) -> int:
-        """State of the nodes and all that deletions reach; -1 if there is none."""
+    def _close(self, nodes: dict[int, int]) -> dict[int, int]:
+        """The nodes and all that deletions reach."""
         todo = list(nodes.items())
         while todo:
             node, edits = todo.pop()
@@ -60,43 +70,43 @@ class TrieAutomaton:
                 if edits + 1 <= self.budget[child] and nodes.get(child, 99) > edits + 1:
                     nodes[child] = edits + 1
                     todo.append((child, edits + 1))
-        if not nodes:
-            return -1
-        key = frozenset(nodes.items())
-        at = self.numbers.get(key)
-        if at is None:
-            at = self.numbers[key] = len(self.sets)
-            self.sets.append(nodes)
-            self.moves.append({})
-            ends = [(edits, self.term[node]) for node, edits in nodes.items()
-                    if self.term[node] is not None and edits <= edits_allowed(self.term[node])]
-            best = min(ends, default=None)
-            self.found.append((best[1], best[0]) if best else None)
-        return at
+        return nodes
 
-    def _move(self, state: int, c: str) -> int:
+    def _move(self, nodes: dict[int, int], c: str) -> dict[int, int]:
         out: dict[int, int] = {}
+        for node, edits in nodes.items():
+            child = self.children[node].get(c)
+            if child is not None and out.get(child, 99) > edits and edits <= self.budget[child]:
+                out[child] = edits
+            if edits < self.budget[node]:
+                if out.get(node, 99) > edits + 1:
+                    out[node] = edits + 1
+                for other in self.children[node].values():
+                    if edits < self.budget[other] and out.get(other, 99) > edits + 1:
+                        out[other] = edits + 1
+        return self._close(out)
 
-        def reach(node: int, edits: int) -> None:
-            if edits <= self.budget[node] and out.get(node, 99) > edits:
-                out[node] = edits
-
-        for node, edits in self.sets[state].items():
-            reach(node, edits + 1)
-            for name, child in self.children[node].items():
-                reach(child, edits + (name != c))
-        return self._number(out)
+    def may_match(self, word: str) -> bool:
+        return any(word[a:b] in found for a, b, found in self.tests.get(len(word), ()))
 
     def nearest(self, word: str) -> tuple[str, int] | None:
         """(term, edits): least edits, then the smallest term; None if no term is near."""
-        if len(self.sets) > STATES:
-            self._reset()
-        state = self.start
-        for c in word:
-            nxt = self.moves[state].get(c)
-            if nxt is None:
-                nxt = self.moves[state][c] = self._move(state, c)
-            if nxt < 0:
+        if not self.may_match(word):
+            return None
+        begin = word[:BEGINNING]
+        nodes = self.beginnings.get(begin)
+        if nodes is None:
+            nodes = self.start
+            for c in begin:
+                nodes = self._move(nodes, c)
+            if len(self.beginnings) >= BEGINNINGS:
+                self.beginnings.clear()
+            self.beginnings[begin] = nodes
+        for c in word[BEGINNING:]:
+            if not nodes:
                 return None
-            state = nxt
-        return self.found[state]
+            nodes = self._move(nodes, c)
+        ends = [(edits, self.term[node]) for node, edits in nodes.items()
+                if self.term[node] is not None and edits <= edits_allowed(self.term[node])]
+        best = min(ends, default=None)
+        return (best[1], best[0]) if best else None

@@ -1,21 +1,24 @@
-"""Exact removal of long repeated byte strings, blockwise over a difference cover.
+"""Removal of long repeated byte strings by window hashes, blockwise over a difference cover.
+
+No suffix order and no ranks are built: windows of ``LENGTH`` bytes are compared by
+64-bit hashes, and the cover only says which of them need one.
 
 A string of ``LENGTH`` bytes that starts at two places covers, at one common
 offset below the period, a sampled position in both (the cover has every
 difference modulo the period).  So:
 
-1. The cover sample is ranked: suffixes at sampled positions (9 %), to the
-   depth that fits behind any offset, are bucketed, each bucket is sorted by
-   one task, and those without an equal are told apart.
-2. Only suffixes with a tied sample within reach can tie over ``LENGTH``
-   bytes.  They are sorted block by block: a round generates the suffixes of
-   one share of the buckets alone, sorts each bucket in one task, and returns
-   one bit per suffix.  The number of rounds follows from the ties, so that the
+1. Windows at sampled positions (9 %), of the depth that fits behind any offset, are
+   hashed and bucketed; each bucket is sorted by one task, which tells those
+   without an equal apart.
+2. Only positions with a tied sample within reach can tie over ``LENGTH``
+   bytes.  Their windows are hashed block by block: a round makes those of one
+   share of the buckets alone, sorts each bucket in one task, and returns one
+   bit per window.  The number of rounds follows from the ties, so that the
    keys in flight stay below ``SHARE`` of the text.
 3. Bits become removed bytes, document by document.
 
-Keys are 64-bit hashes of the compared bytes (suffixes are ordered by key: the
-result needs only ties, not the alphabet's order).  A chunk sends each key
+The result needs only ties, not the alphabet's order; unequal windows tie with
+probability about n**2 / 2**65.  A chunk sends each key
 once, however often it occurs there, so no bucket grows with the copies of a
 string beyond one entry per chunk, and gets its bits back in the order sent.
 

@@ -41,10 +41,11 @@ SUPPORT, LIMIT = 10, 2000
 SHARDS = 2
 #: Size of the bitmaps of frequent phrases, 16 MB each.
 BITS = 27
-#: Low bits of a phrase's hash that hold its shard.
-SHARD_BITS = 15
+#: Low bits of a phrase's key: 4 for its shard, 8 for the local support it needs there (a
+#: higher one counts as 255: more candidates, none less).
+MAX_SHARDS, MAX_NEED, TAG_BITS = 16, 255, (1 << 12) - 1
 #: Bytes of text turned into numbers at a time.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Groups whose first ``LIMIT`` are taken before those of a language are ranked.
 SALTS = 64
 
@@ -80,9 +81,10 @@ def numbered(data: bytes) -> tuple[np.ndarray, pa.Array]:
     """Word numbers in order, -1 at piece ends, and the words by number."""
     parts = pc.split_pattern(pa.array([data.replace(b"\n", b" \n ")], pa.binary()), pattern=" ") \
         .flatten().dictionary_encode()
-    ids, words = parts.indices.to_numpy().astype(np.int64), parts.dictionary
-    ids = ids[ids != pc.index(words, pa.scalar(b"", pa.binary())).as_py()]
-    return np.where(ids == pc.index(words, pa.scalar(b"\n", pa.binary())).as_py(), -1, ids), words
+    ids, words = parts.indices.to_numpy(), parts.dictionary
+    ids = ids[ids != pc.index(words, pa.scalar(b"", pa.binary())).as_py()]  # a copy
+    ids[ids == pc.index(words, pa.scalar(b"\n", pa.binary())).as_py()] = -1
+    return ids, words
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
@@ -90,12 +92,16 @@ def word_hashes(words: pa.Array) -> np.ndarray:
 
 
 def phrase_hashes(lang: str, *places: np.ndarray) -> np.ndarray:
-    """Hash of each phrase of a language (one array of word hashes per place), shard bits 0."""
+    """Hash of each phrase of a language (one array of word hashes per place), low bits 0."""
     out = np.full(len(places[0]), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
     for h in places:
         out = (out ^ h) * _MIX
         out ^= out >> np.uint64(29)
-    return out * _MIX & ~np.uint64(SHARD_BITS)
+    return out * _MIX & ~np.uint64(TAG_BITS)
+
+
+def tag(shard: int, need: int) -> np.uint64:
+    return np.uint64(min(need, MAX_NEED) << 4 | shard)
 
 
 def bit_of(keys: np.ndarray) -> np.ndarray:
@@ -125,20 +131,19 @@ def bitmap(keys: DataFrame):
 
 
 def word_keys(words: DataFrame) -> DataFrame:
-    """Keys of the words (shard, lang, phrase)."""
+    """Keys of the words (shard, need, lang, phrase)."""
 
     def run(batches):
         for batch in batches:
-            by_lang: dict[str, list[int]] = {}
-            for i, lang in enumerate(batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(i)
-            shard = batch.column(0).to_numpy().astype(np.uint64)
-            phrases = batch.column(2).cast(pa.binary())
-            for lang, rows in by_lang.items():
-                h = phrase_hashes(lang, word_hashes(phrases.take(pa.array(rows)))) | shard[rows]
+            groups: dict[tuple, list[int]] = {}
+            for i, group in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+                groups.setdefault(group, []).append(i)
+            phrases = batch.column(3).cast(pa.binary())
+            for (shard, need, lang), rows in groups.items():
+                h = phrase_hashes(lang, word_hashes(phrases.take(pa.array(rows)))) | tag(shard, need)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["key"])
 
-    return words.select("shard", "lang", "phrase").mapInArrow(run, "key long")
+    return words.select("shard", "need", "lang", "phrase").mapInArrow(run, "key long")
 
 
 def _phrases(words: pa.Array, *places: np.ndarray) -> pa.Array:
@@ -147,12 +152,21 @@ def _phrases(words: pa.Array, *places: np.ndarray) -> pa.Array:
     return joined.cast(pa.string())
 
 
-def _pairs(ids: np.ndarray, n_words: int, usable: np.ndarray):
-    """Pairs of adjacent usable words: (first, second, count) and each place's pair (-1: none)."""
+def _codes(ids: np.ndarray, n_words: int, usable: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of adjacent (usable) words, and their numbers."""
     a, b = ids[:-1], ids[1:]
-    at = np.flatnonzero((a >= 0) & (b >= 0) & usable[a] & usable[b])
-    codes, place, counts = np.unique(a[at] * n_words + b[at], return_inverse=True, return_counts=True)
-    pair = np.full(len(ids), -1)
+    good = (a >= 0) & (b >= 0)
+    if usable is not None:
+        good &= usable[a] & usable[b]
+    at = np.flatnonzero(good)
+    return at, a[at].astype(np.int64) * n_words + b[at]
+
+
+def _pair_table(ids: np.ndarray, n_words: int):
+    """All pairs of adjacent words: (first, second, count) and each place's pair (-1: none)."""
+    at, codes = _codes(ids, n_words, None)
+    codes, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    pair = np.full(len(ids), -1, np.int32)
     pair[at] = place
     return codes // n_words, codes % n_words, counts, pair
 
@@ -161,47 +175,48 @@ def _triples(ids: np.ndarray, n_words: int, pair: np.ndarray, usable: np.ndarray
     """Triples of two adjacent usable pairs: (pair, third, count)."""
     good = (pair >= 0) & usable[pair]
     at = np.flatnonzero(good[:-1] & good[1:])
-    codes, counts = np.unique(pair[at] * n_words + ids[at + 2], return_counts=True)
+    codes, counts = np.unique(pair[at].astype(np.int64) * n_words + ids[at + 2], return_counts=True)
     return codes // n_words, codes % n_words, counts
 
 
-def mine_words(data: bytes, lang: str, shard: int, bits) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def mine_words(data: bytes, lang: str, mark: np.uint64, bits) -> Iterator[tuple[pa.Array, np.ndarray]]:
     ids, words = numbered(data)
     counts = np.bincount(ids[ids >= 0], minlength=len(words))
     used = np.flatnonzero(counts)
     yield _phrases(words, used), counts[used]
 
 
-def mine_pairs(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def mine_pairs(data: bytes, lang: str, mark: np.uint64, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Keys of the pairs of frequent words."""
     ids, words = numbered(data)
     if len(ids) > 1:
         h = word_hashes(words)
-        usable = marked(bits, phrase_hashes(lang, h) | np.uint64(shard))
-        first, second, counts, _ = _pairs(ids, len(words), usable)
-        yield pa.array((phrase_hashes(lang, h[first], h[second]) | np.uint64(shard)).view(np.int64)), counts
+        codes = _codes(ids, len(words), marked(bits, phrase_hashes(lang, h) | mark))[1]
+        codes, counts = np.unique(codes, return_counts=True)
+        keys = phrase_hashes(lang, h[codes // len(words)], h[codes % len(words)]) | mark
+        yield pa.array(keys.view(np.int64)), counts
 
 
-def mine_triples(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def mine_triples(data: bytes, lang: str, mark: np.uint64, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Keys of the triples of frequent pairs."""
     ids, words = numbered(data)
     if len(ids) > 2:
         h = word_hashes(words)
-        first, second, _, pair = _pairs(ids, len(words), np.ones(len(words), bool))
+        first, second, _, pair = _pair_table(ids, len(words))
         if len(first):
-            frequent = marked(bits, phrase_hashes(lang, h[first], h[second]) | np.uint64(shard))
+            frequent = marked(bits, phrase_hashes(lang, h[first], h[second]) | mark)
             p, third, counts = _triples(ids, len(words), pair, frequent)
-            keys = phrase_hashes(lang, h[first[p]], h[second[p]], h[third]) | np.uint64(shard)
+            keys = phrase_hashes(lang, h[first[p]], h[second[p]], h[third]) | mark
             yield pa.array(keys.view(np.int64)), counts
 
 
-def count_candidates(data: bytes, lang: str, shard: int, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def count_candidates(data: bytes, lang: str, mark: np.uint64, bits: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Candidate pairs, and candidate triples (whose pairs are candidates)."""
     ids, words = numbered(data)
     if len(ids) < 2:
         return
     h = word_hashes(words)
-    first, second, counts, pair = _pairs(ids, len(words), np.ones(len(words), bool))
+    first, second, counts, pair = _pair_table(ids, len(words))
     if not len(first):
         return
     wanted = marked(bits, phrase_hashes(lang, h[first], h[second]))
@@ -213,11 +228,13 @@ def count_candidates(data: bytes, lang: str, shard: int, bits: np.ndarray) -> It
         yield _phrases(words, first[p], second[p], third), counts[wanted]
 
 
-def found(texts: DataFrame, group: tuple[str, ...], mine: Callable, out: str, bits=None) -> DataFrame:
-    """The columns ``group`` (of lang, shard and others), what ``mine`` finds in the slices of each
-    group (``out``, a DDL column) and its count c there."""
-    schema = ", ".join([f"{c} {texts.schema[c].dataType.simpleString()}" for c in group] + [out, "c long"])
-    names = [*group, out.split()[0], "c"]
+def found(texts: DataFrame, group: tuple[str, ...], keep: tuple[str, ...], mine: Callable, out: str,
+          bits=None) -> DataFrame:
+    """What ``mine`` finds (``out``, a DDL column) in the slices of each group of ``group`` (lang, and
+    perhaps shard and need), its count c there, and the group's columns ``keep``."""
+    types = [f"{c} {texts.schema[c].dataType.simpleString()}" for c in keep]
+    schema = ", ".join([*types, out, "c long"])
+    names = [*keep, out.split()[0], "c"]
 
     def run(batches):
         for batch in batches:
@@ -227,12 +244,12 @@ def found(texts: DataFrame, group: tuple[str, ...], mine: Callable, out: str, bi
             bodies = batch.column(len(group))
             for key, rows in by_group.items():
                 named = dict(zip(group, key))
+                mark = tag(named.get("shard", 0), named.get("need", 0))
                 for data in slices(bodies[i].as_py() for i in rows):
-                    for values, counts in mine(data, named["lang"], named.get("shard", 0),
-                                               bits.value if bits is not None else None):
+                    for values, counts in mine(data, named["lang"], mark, bits.value if bits is not None else None):
                         yield pa.RecordBatch.from_arrays(
-                            [*(pa.repeat(pa.scalar(v, batch.schema.field(j).type), len(values))
-                               for j, v in enumerate(key)), values, pa.array(counts, pa.int64())], names)
+                            [*(pa.repeat(pa.scalar(named[c], batch.schema.field(group.index(c)).type), len(values))
+                               for c in keep), values, pa.array(counts, pa.int64())], names)
 
     return texts.select(*group, "__body").mapInArrow(run, schema)
 
@@ -241,14 +258,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                      shards: int = SHARDS, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All phrases of two or three words with at least ``support`` occurrences in a
     language (lang, phrase, c), the words with as many, and the words of each language (lang, n)."""
-    if not 0 < shards <= SHARD_BITS + 1:
-        raise ValueError(f"shards must be 1 to {SHARD_BITS + 1}")
+    if not 0 < shards <= MAX_SHARDS:
+        raise ValueError(f"shards must be 1 to {MAX_SHARDS}")
     scratch = scratch or Scratch(docs.sparkSession, "phrases")
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.pmod(F.xxhash64(F.col(lang_col).cast("string"), text_col), F.lit(shards)).cast("int").alias("shard"),
                         F.col(text_col).alias("__body"))
 
-    words = scratch.save(found(texts, ("shard", "lang"), mine_words, "phrase string")
+    words = scratch.save(found(texts, ("shard", "lang"), ("shard", "lang"), mine_words, "phrase string")
                          .groupBy("shard", "lang", "phrase").agg(F.sum("c").alias("c")), "words")
     sizes = scratch.save(words.groupBy("shard", "lang").agg(F.sum("c").alias("m")), "sizes")
     totals = scratch.save(sizes.groupBy("lang").agg(F.sum("m").alias("n")), "totals")
@@ -262,8 +279,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             .drop("__g", "__group")
 
     def frequent_keys(mine: Callable, bits, name: str) -> DataFrame:
-        rows = found(with_need(texts, ["__body"]), ("lang", "shard", "need"), mine, "key long", bits).drop("lang", "shard")
-        return scratch.save(rows.groupBy("key", "need").agg(F.sum("c").alias("c")).filter("c >= need").select("key"), name)
+        rows = found(with_need(texts, ["__body"]), ("lang", "shard", "need"), (), mine, "key long", bits)
+        frequent = rows.groupBy("key").agg(F.sum("c").alias("c")).filter(f"c >= shiftright(key, 4) & {MAX_NEED}")
+        return scratch.save(frequent.select("key"), name)
 
     seen = bitmap(word_keys(with_need(words, ["phrase"]).filter("c >= need")))
     pairs = frequent_keys(mine_pairs, seen, "pairs")
@@ -271,9 +289,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     seen = bitmap(pairs)
     triples = frequent_keys(mine_triples, seen, "triples")
     seen.unpersist()
-    seen = bitmap(pairs.union(triples).select(F.col("key").bitwiseAND(F.lit(~SHARD_BITS).cast("long")).alias("key")))
+    seen = bitmap(pairs.union(triples).select(F.col("key").bitwiseAND(F.lit(~TAG_BITS).cast("long")).alias("key")))
     scratch.drop("pairs", "triples", "sizes", "need")
-    exact = (found(texts, ("lang",), count_candidates, "phrase string", seen)
+    exact = (found(texts, ("lang",), ("lang",), count_candidates, "phrase string", seen)
              .groupBy("lang", "phrase").agg(F.sum("c").alias("c")).filter(F.col("c") >= support))
     phrases = scratch.save(exact, "phrases")
     frequent_words = scratch.save(words.groupBy("lang", "phrase").agg(F.sum("c").alias("c"))

@@ -43,7 +43,8 @@ from docweave.llm.levenshtein import TrieAutomaton
 LEARN_ROWS = 50_000
 #: Terms of the lexicon, and ordinary words near one of them.
 MAX_TERMS, MAX_ORDINARY = 20_000, 100_000
-#: A term: toxic documents, log odds against other documents, likelihood ratio.
+#: A term: toxic documents, log odds against other documents, likelihood ratio (and at least
+#: twice the logarithm of the number of words tried, so that chance makes few terms).
 MIN_DOCS, MIN_ODDS, MIN_G2 = 3, 1.5, 12.0
 STEMS = (4, 5, 6)
 SKETCH, SHINGLE = 4, 5
@@ -126,14 +127,14 @@ def term_counts(learned: DataFrame) -> DataFrame:
             .groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
 
 
-def evidence(a: float, b: float, toxic: float, other: float) -> float:
+def evidence(a: float, b: float, toxic: float, other: float, min_g2: float = MIN_G2) -> float:
     """Log odds of a term, 0 if its counts do not make it one."""
     if a < MIN_DOCS:
         return 0.0
     odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (other + 1))
     p = toxic / (toxic + other)
     g2 = 2 * (a * math.log(a / ((a + b) * p)) + (b * math.log(b / ((a + b) * (1 - p))) if b else 0))
-    return odds if odds >= MIN_ODDS and g2 >= MIN_G2 else 0.0
+    return odds if odds >= MIN_ODDS and g2 >= min_g2 else 0.0
 
 
 def _evidence_sql(b: str, toxic: float, other: float) -> tuple[Column, Column]:
@@ -147,11 +148,12 @@ def _evidence_sql(b: str, toxic: float, other: float) -> tuple[Column, Column]:
 class Lexicon:
     """Terms with their counts, and the words that are not misspellings of them."""
 
-    def __init__(self, terms: dict[str, tuple[float, float]], ordinary: dict[str, float], toxic: float, other: float):
+    def __init__(self, terms: dict[str, tuple[float, float]], ordinary: dict[str, float], toxic: float, other: float,
+                 min_g2: float = MIN_G2):
         self.keys = sorted(terms)
         self.counts = [terms[k] for k in self.keys]
         self.number = {k: i for i, k in enumerate(self.keys)}
-        self.ordinary, self.toxic, self.other = ordinary, toxic, other
+        self.ordinary, self.toxic, self.other, self.min_g2 = ordinary, toxic, other, min_g2
 
     def automaton(self) -> TrieAutomaton:
         return TrieAutomaton(k for k in self.keys if not k.endswith("*"))
@@ -161,17 +163,19 @@ class Lexicon:
         a, b = self.counts[term]
         if y is not None:
             a, b = a - y, b - (1 - y)
-        return evidence(a, max(b, 0.0), self.toxic, self.other)
+        return evidence(a, max(b, 0.0), self.toxic, self.other, self.min_g2)
 
 
 def fit_lexicon(learned: DataFrame, scratch: Scratch, toxic: float, other: float) -> Lexicon:
     counts = scratch.save(term_counts(learned), "counts")
     # with one clean document less, as the lexicon is also asked without one
     odds, g2 = _evidence_sql("greatest(b - 1, 0)", toxic, other)
-    terms = (counts.filter(F.col("a") >= MIN_DOCS).withColumn("g2", g2).withColumn("odds", odds)
-             .filter((F.col("odds") >= MIN_ODDS) & (F.col("g2") >= MIN_G2))
+    tried = counts.filter(F.col("a") >= MIN_DOCS)
+    min_g2 = max(MIN_G2, 2 * math.log(max(tried.count(), 1)))
+    terms = (tried.withColumn("g2", g2).withColumn("odds", odds)
+             .filter((F.col("odds") >= MIN_ODDS) & (F.col("g2") >= min_g2))
              .orderBy(F.desc("g2"), "key").limit(MAX_TERMS).collect())
-    lexicon = Lexicon({r["key"]: (r["a"], r["b"]) for r in terms}, {}, toxic, other)
+    lexicon = Lexicon({r["key"]: (r["a"], r["b"]) for r in terms}, {}, toxic, other, min_g2)
 
     def near(batches):
         automaton = lexicon.automaton()

@@ -99,11 +99,12 @@ def file_order(name: str = "part") -> list[Column]:
     return [F.regexp_extract(name, FILE_NUMBER, i).cast("long").alias(f"__file{i}") for i in (1, 2)]
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
+def with_starts(rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Adds ``start``, the ids of all documents before it, to (part, row, n_tokens, ...).
     A file is one range of documents, so the running sums stay inside files and
-    only one total per file is summed across them."""
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    only one total per file is summed across them (of ``counts``: part and n_tokens,
+    where they can be had for less than the rows)."""
+    totals = (rows if counts is None else counts).groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy(*file_order()).rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(F.col("part").alias("__part"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
     inside = F.sum("n_tokens").over(
@@ -117,6 +118,11 @@ def _located(spark: SparkSession, path: str) -> DataFrame:
         "*", F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("row"))
 
 
+def file_counts(spark: SparkSession, path: str) -> DataFrame:
+    """part and n_tokens of every document, from the metadata columns alone."""
+    return _located(spark, path).select("part", "n_tokens")
+
+
 def token_offsets(spark: SparkSession, path: str) -> DataFrame:
     """part, row, doc_id, n_tokens and ``start`` from the metadata columns alone.
     ``part`` and ``row`` name the row in its file."""

@@ -70,8 +70,8 @@ from documents d left join n on n.doc_id = d.doc_id join r on r.node = d.doc_id
 def op4_token_parquet(spark, sf_dir):
     path = Scratch(spark, "tokens").path("ids")
     op4_tokens.write_tokens(table(spark, sf_dir, "documents"), path, WORD_VOCABULARY, end_id=2)
-    return op4_tokens.with_starts(op4_tokens.token_digests(spark, path)).select(
-        "doc_id", "start", "n_tokens", "ids_crc32")
+    rows = op4_tokens.with_starts(op4_tokens.token_digests(spark, path), op4_tokens.file_counts(spark, path))
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op5_mcd_outliers(spark, sf_dir):
