@@ -35,9 +35,22 @@ class BodyParams:
 
 
 def _fold(df: DataFrame, id_col: str, order: list, value: str, out: str) -> DataFrame:
-    parts = F.sort_array(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)],
-                                                 F.col(value).alias("v"))))
-    return df.groupBy(id_col).agg(F.transform(parts, lambda s: s["v"]).alias(out))
+    return _fold_all(id_col, {out: (df, order, value)})
+
+
+def _fold_all(id_col: str, parts: dict[str, tuple[DataFrame, list, str]]) -> DataFrame:
+    """One row per id with an array column for each part (rows, order, value): the rows
+    of all parts meet in one group-by, which re-uses their common partitioning."""
+    rows = None
+    for kind, (df, order, value) in enumerate(parts.values()):
+        keys = [o.cast("double") if i == 0 else o.cast("string") for i, o in enumerate(order)]
+        keys += [F.lit(None).cast("string")] * (2 - len(keys))
+        part = df.select(id_col, F.lit(kind).alias("__kind"),
+                         F.struct(keys[0].alias("o0"), keys[1].alias("o1"), F.col(value).alias("v")).alias("__s"))
+        rows = part if rows is None else rows.unionByName(part)
+    folds = [F.transform(F.sort_array(F.collect_list(F.when(F.col("__kind") == kind, F.col("__s")))),
+                         lambda s: s["v"]).alias(name) for kind, name in enumerate(parts)]
+    return rows.groupBy(id_col).agg(*folds)
 
 
 def featured_tokens(tokens: DataFrame, id_col: str, p: BodyParams) -> DataFrame:
@@ -88,21 +101,19 @@ def enrich_body(docs: DataFrame, id_col: str, text_col: str, p: BodyParams | Non
     text = segment.by_document(docs.select(id_col, text_col), id_col, partitions, keep_layout)
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     a = annotate_body(text, id_col, text_col, p)
-    sent = _fold(a["sentences"], id_col, [F.col("begin")], "result", "sentences")
-    ents = _fold(a["entities"], id_col, [F.col("begin")], "result", "entities")
-    keys = _fold(a["keywords"], id_col, [kw.rank_key("score"), F.col("keyword")], "keyword", "keywords")
+    parts = {"sentences": (a["sentences"], [F.col("begin")], "result"),
+             "entities": (a["entities"], [F.col("begin")], "result"),
+             "keywords": (a["keywords"], [kw.rank_key("score"), F.col("keyword")], "keyword")}
+    if p is not None and p.pos_model is not None:
+        parts["pos"] = (a["features"], [F.col("begin")], "pos_tag")
+    folds = _fold_all(id_col, parts).withColumnRenamed(id_col, "__k")
     out = text
     if others:
         meta = segment.by_document(docs.select(id_col, *others), id_col, partitions, keep_layout)
         out = out.join(meta.withColumnRenamed(id_col, "__k"), F.col(id_col) == F.col("__k"), "left").drop("__k")
-    folds = {"sentences": sent, "entities": ents, "keywords": keys}
-    if p is not None and p.pos_model is not None:
-        folds["pos"] = _fold(a["features"], id_col, [F.col("begin")], "pos_tag", "pos")
-    for t in folds.values():
-        t = t.withColumnRenamed(id_col, "__k")
-        out = out.join(t, F.col(id_col) == F.col("__k"), "left").drop("__k")
+    out = out.join(folds, F.col(id_col) == F.col("__k"), "left").drop("__k")
     empty = F.array().cast("array<string>")
-    return out.select(*docs.columns, *[F.coalesce(c, empty).alias(c) for c in folds])
+    return out.select(*docs.columns, *[F.coalesce(c, empty).alias(c) for c in parts])
 
 
 def index_row(enriched: DataFrame, work: tuple[str, ...] = ("body_text", "source_id", "index_date")) -> DataFrame:
