@@ -23,7 +23,8 @@ empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import contextlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ BITS = 27
 MAX_SHARDS, MAX_NEED, TAG_BITS = 16, 255, (1 << 12) - 1
 #: Bytes of text turned into numbers at a time.
 SLICE = 4 << 20
+#: Bytes of text of all groups of a task that wait for their slice to fill, and rows a batch.
+HELD, BATCH_ROWS = 16 << 20, 2000
 #: Groups whose first ``LIMIT`` are taken before those of a language are ranked.
 SALTS = 64
 
@@ -55,26 +58,33 @@ _FOLD = bytes.maketrans(_SEPARATORS + b"\t" + _UPPER, b"\n" * len(_SEPARATORS) +
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(texts: Iterator[str | None], size: int = SLICE) -> Iterator[bytes]:
-    """Folded texts joined to slices of about ``size`` bytes, cut at piece ends (LF)."""
-    held: list[bytes] = []
-    n = 0
-    for text in texts:
+def slices(texts: Iterable[tuple[tuple, str | None]], size: int = SLICE, held: int = HELD) -> Iterator[tuple[tuple, bytes]]:
+    """(group, folded texts of the group) of (group, text) pairs, in slices of about ``size``
+    bytes cut at piece ends (LF); at most ``held`` bytes of all groups wait."""
+    waiting: dict[tuple, list[bytes]] = {}
+    sizes: dict[tuple, int] = {}
+
+    def take(group):
+        del sizes[group]
+        return group, b"".join(waiting.pop(group))
+
+    for group, text in texts:
         if not text:
             continue
         data = text.encode().translate(_FOLD) + b"\n"
         at = 0
         while len(data) - at > size:
             cut = data.rfind(b"\n", at, at + size) + 1 or data.index(b"\n", at + size) + 1
-            yield data[at:cut]
+            yield group, data[at:cut]
             at = cut
-        held.append(data[at:])
-        n += len(data) - at
-        if n >= size:
-            yield b"".join(held)
-            held, n = [], 0
-    if held:
-        yield b"".join(held)
+        waiting.setdefault(group, []).append(data[at:])
+        sizes[group] = sizes.get(group, 0) + len(data) - at
+        if sizes[group] >= size:
+            yield take(group)
+        elif sum(sizes.values()) > held:
+            yield take(max(sizes, key=sizes.get))
+    for group in list(sizes):
+        yield take(group)
 
 
 def numbered(data: bytes) -> tuple[np.ndarray, pa.Array]:
@@ -236,24 +246,32 @@ def found(texts: DataFrame, group: tuple[str, ...], keep: tuple[str, ...], mine:
     schema = ", ".join([*types, out, "c long"])
     names = [*keep, out.split()[0], "c"]
 
+    kinds = [pa.int32() if c == "shard" else pa.string() for c in keep]  # shard and lang
+
     def run(batches):
-        for batch in batches:
-            by_group: dict[tuple, list[int]] = {}
-            for i, key in enumerate(zip(*(batch.column(j).to_pylist() for j in range(len(group))))):
-                by_group.setdefault(key, []).append(i)
-            bodies = batch.column(len(group))
-            for key, rows in by_group.items():
-                named = dict(zip(group, key))
-                mark = tag(named.get("shard", 0), named.get("need", 0))
-                for data in slices(bodies[i].as_py() for i in rows):
-                    for values, counts in mine(data, named["lang"], mark, bits.value if bits is not None else None):
-                        yield pa.RecordBatch.from_arrays(
-                            [*(pa.repeat(pa.scalar(named[c], batch.schema.field(group.index(c)).type), len(values))
-                               for c in keep), values, pa.array(counts, pa.int64())], names)
+        texts_of = ((key, body) for batch in batches for *key, body in zip(*(c.to_pylist() for c in batch.columns)))
+        for key, data in slices((tuple(key), body) for key, body in texts_of):
+            named = dict(zip(group, key))
+            mark = tag(named.get("shard", 0), named.get("need", 0))
+            for values, counts in mine(data, named["lang"], mark, bits.value if bits is not None else None):
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.repeat(pa.scalar(named[c], kind), len(values)) for c, kind in zip(keep, kinds)),
+                     values, pa.array(counts, pa.int64())], names)
 
     return texts.select(*group, "__body").mapInArrow(run, schema)
 
 
+@contextlib.contextmanager
+def short_batches(spark, rows: int = BATCH_ROWS, key: str = "spark.sql.execution.arrow.maxRecordsPerBatch"):
+    """Arrow batches of few rows for the statements inside: texts are collected to slices anyway."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
                      shards: int = SHARDS, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All phrases of two or three words with at least ``support`` occurrences in a
@@ -304,7 +322,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  limit: int = LIMIT, shards: int = SHARDS) -> DataFrame:
     """The first ``limit`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
     scratch = Scratch(docs.sparkSession, "collocations")
-    phrases, words, totals = frequent_phrases(docs, text_col, lang_col, support, shards, scratch)
+    with short_batches(docs.sparkSession):
+        phrases, words, totals = frequent_phrases(docs, text_col, lang_col, support, shards, scratch)
     w = F.split("phrase", " ")
     key = lambda phrase: F.concat(F.col("lang"), F.lit("\t"), phrase)
     known = phrases.unionByName(words).select(key(F.col("phrase")).alias("__key"), F.col("c").alias("__f"))

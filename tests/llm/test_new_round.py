@@ -81,7 +81,11 @@ def test_collocations_of_long_texts_and_empty_tables(spark):
 
 def test_slices_cut_at_piece_ends():
     texts = ["A b.c", None, "d e f;" * 50, "", "g" * 90 + ".h"]
-    data = list(op11.slices(iter(texts), 40))
+    data = [d for g, d in op11.slices((("g",), t) for t in texts) if g == ("g",)]
+    assert len(data) == 1
+    data = [d for _, d in op11.slices([(("g",), t) for t in texts], 40)]
+    mixed = list(op11.slices([(i % 3, t) for i, t in enumerate(texts * 9)], 400, 500))
+    assert sum(len(d) for _, d in mixed) == 9 * sum(len(t.encode()) + 1 for t in texts if t)
     whole = b"".join(t.encode().translate(op11._FOLD) + b"\n" for t in texts if t)
     assert sorted(b"".join(data).split(b"\n")) == sorted(whole.split(b"\n"))
     assert all(d.endswith(b"\n") for d in data)
