@@ -46,9 +46,9 @@ BITS = 27
 #: higher one counts as 255: more candidates, none less).
 MAX_SHARDS, MAX_NEED, TAG_BITS = 16, 255, (1 << 12) - 1
 #: Bytes of text turned into numbers at a time.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Bytes of text of all groups of a task that wait for their slice to fill, and rows a batch.
-HELD, BATCH_ROWS = 16 << 20, 2000
+HELD, BATCH_ROWS = 8 << 20, 1000
 #: Groups whose first ``LIMIT`` are taken before those of a language are ranked.
 SALTS = 64
 
