@@ -79,7 +79,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, rank of the kind, end), sorted."""
     out = [(a, 0, b) for a, b in emails(text)]
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        # int() refuses very long numbers, leading zeros included
+        parts = [p.lstrip("0") for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -231,7 +233,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def digest_columns(found: DataFrame) -> DataFrame:
     """The contract's columns from ``find_personal_data``'s rows."""
     base = F.filter("spans", lambda s: s["rank"] < len(KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+
+    def of_kind(k: int):  # a second parameter of the lambda, even with a default, would be the element's index
+        return F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
+
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(spans_text(base), 256).alias("base_sha256"),
                         spans_text(F.col("spans")).alias("spans"))

@@ -312,6 +312,19 @@ def test_base_spans_equal_the_patterns():
         assert op8_pii.base_spans(t) == brute_spans(t), t
 
 
+def test_personal_data_is_counted_by_kind(spark):
+    texts = ["a@b.co c@d.ef 1.2.3.4 +1 234 567 8901", "4111 1111 1111 1111 9.9.9.9 8.8.8.8", "0" * 5000 + ".1.1.1", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in op8_pii.digest_columns(op8_pii.find_personal_data(df)).collect()}
+    for i, t in enumerate(texts[:2]):
+        want = brute_spans(t)
+        assert [got[i][f"n_{k}"] for k in op8_pii.KINDS] == [sum(r == k for _, r, _ in want) for k in range(4)]
+        text = ",".join(f"{op8_pii.KINDS[r]}:{a}:{b}" for a, r, b in want)
+        assert got[i]["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert got[2]["n_ip"] == 1 and got[2]["spans"] == "ip:0:5006"
+    assert [got[3][f"n_{k}"] for k in op8_pii.KINDS] == [0, 0, 0, 0]
+
+
 def test_scan_of_very_long_words_is_linear():
     t0 = time.time()
     for unit in ("a", "1", "a.", "1.", "a@", "-", "+1", "a-"):
