@@ -12,6 +12,12 @@ A query walks the graph, both ways along its edges, from its own vertex: all
 unvisited neighbours of the best ``BEAM`` vertices are measured, until the best
 have all been expanded.
 
+An exact check follows, as a graph may hold regions a walk never enters (groups
+of near-equal vectors fill their own lists): the query vertices (a fixed share
+of the rows) meet all nodes in cells of bounded size, and whatever lies within
+the distance a query's walk has reached is added.  A cell measures its pairs by
+matrix products and returns at most ``top + 1`` of a query.
+
 Defined cases: vectors that are null, zero, or hold null or non-finite numbers
 take no part, nor do those of another length than the commonest; repeated ids
 with equal vectors are one row, with unequal ones the first by vector; other
@@ -22,6 +28,7 @@ columns are ignored; an empty table gives no rows; with fewer candidates than
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +42,8 @@ DIRECTIONS, BLOCK = 4, 128
 ROUNDS, SETTLED = 6, 0.01
 BEAM, STEPS = 48, 12
 SEED = 31
+#: Numbers that the nodes of one cell of the exact check hold; rows measured at once.
+CELL, STRIP = 1 << 20, 256
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -192,6 +201,54 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, scratch: Scra
     return seen.select("q", "node", "score")
 
 
+def missed(found: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, dim: int, top: int) -> DataFrame:
+    """(q, node, score) of the nodes within the ``top + 1`` nearest vertices that each
+    query's walk has ``found``; of a cell the nearest ``top + 1`` (ties: smaller id)."""
+    rows = max(STRIP, CELL // max(dim, 1))
+    node_cells = max(shuffle_partitions(nodes.sparkSession), -(-n // rows))
+    query_cells = max(1, -(-queries.count() // rows))
+    each = lambda cells: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long")))
+    by_score = Window.partitionBy("q").orderBy("score", "node")
+    reach = found.withColumn("r", F.row_number().over(by_score)).filter(F.col("r") == top + 1) \
+        .select(F.col("q").alias("id"), F.col("score").alias("reach"))
+    asked = queries.join(reach, "id", "left").select(
+        F.pmod(F.xxhash64("id"), F.lit(query_cells)).alias("qc"), F.col("id").alias("q"), F.col("v").alias("qv"),
+        F.coalesce("reach", F.lit(float("inf"))).alias("reach"),
+        each(node_cells).alias("nc"))
+    met = nodes.select(
+        F.pmod(F.xxhash64("id"), F.lit(node_cells)).alias("nc"), "id", "v",
+        each(query_cells).alias("qc"))
+
+    def measure(ask: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"q": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "score": np.zeros(0)})]
+        if len(ask) and len(cell):
+            ids, x = cell["id"].to_numpy(), np.stack(cell["v"].to_numpy()).astype(np.float64)
+            qs, y = ask["q"].to_numpy(), np.stack(ask["qv"].to_numpy()).astype(np.float64)
+            reach = ask["reach"].to_numpy() ** 2
+            mid = x.mean(axis=0)
+            u, z = x - mid, y - mid
+            sq, sz = (u * u).sum(axis=1), (z * z).sum(axis=1)
+            for i in range(0, len(qs), STRIP):
+                part = slice(i, i + STRIP)
+                size = sz[part, None] + sq[None, :]
+                # the slack covers the rounding of the products
+                r, c = np.nonzero(size - 2 * z[part] @ u.T <= reach[part, None] * (1 + 1e-9) + 1e-9 * size)
+                d = np.zeros(len(r))
+                for j in range(x.shape[1]):  # as the walk measures: one component after the other
+                    step = y[i + r, j] - x[c, j]
+                    d += step * step
+                d = np.sqrt(d)
+                order = np.lexsort((ids[c], d, r))
+                r, c, d = r[order], c[order], d[order]
+                rank = np.arange(len(r)) - np.searchsorted(r, r)
+                few = rank <= top
+                out.append(pd.DataFrame({"q": qs[i + r[few]], "node": ids[c[few]], "score": d[few]}))
+        return pd.concat(out, ignore_index=True)
+
+    return asked.groupBy("nc", "qc").cogroup(met.groupBy("nc", "qc")).applyInPandas(
+        measure, "q long, node long, score double")
+
+
 def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding",
                        top: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score.  ``is_query`` is over the column ``id``."""
@@ -208,6 +265,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
     queries = members.filter(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("q"))
     starts = queries.select(F.col("q").alias("id")).distinct().join(nodes, "id")
     found = search(graph, nodes, starts, scratch)
+    more = missed(found, nodes, starts, nodes.count(), len(first["v"]), top)
+    found = found.unionByName(scratch.save(more, "missed")).groupBy("q", "node").agg(F.min("score").alias("score"))
     by_score = Window.partitionBy("q").orderBy("score", "node")
     found = found.withColumn("r", F.row_number().over(by_score)).filter(F.col("r") <= top + 1).drop("r")
     # of a vertex at most top + 1 ids can matter

@@ -117,6 +117,22 @@ def test_neighbours_equal_brute_force_mostly(spark):
     assert [i for _, i in got[350]] == list(range(300, 310))
 
 
+def test_neighbours_beyond_small_tight_groups(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(250, 32)) * 100  # groups of 8: the tenth neighbour is in another group
+    tight = centres[np.arange(2000) % 250] + 0.01 * rng.normal(size=(2000, 32))
+    ties = rng.integers(0, 2, size=(2000, 24))  # many equal distances: the smaller ids count
+    for data in (tight.astype(np.float32), ties.astype(np.float32)):
+        rows = [(i, v.tolist(), 0, 0) for i, v in enumerate(data) if v.any()]
+        out = op6_nndescent.nearest_neighbours(vectors(spark, rows), F.col("id") % 100 == 0)
+        got = {}
+        for r in out.orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["vec_id"])
+        for q in got:
+            assert got[q] == [i for _, i in brute_neighbours(rows, q)]
+        assert len(got) == 20
+
+
 def test_neighbours_of_few_and_unusable_vectors(spark):
     rows = [(0, [1.0, 0.0], 1, 1), (1, [0.0, 1.0], 1, 1), (2, [1.0, 0.0], 1, 1), (2, [1.0, 0.0], 1, 1),
             (3, None, 1, 1), (4, [0.0, 0.0], 1, 1), (5, [float("nan"), 1.0], 1, 1), (6, [float("inf"), 1.0], 1, 1),
