@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docweave.functions import joins
-from docweave.operators import segment, sequence, vectors
+from docweave.operators import entities, factorise, keywords, segment, sequence, vectors
 from docweave.sources import files
 
 
@@ -67,3 +67,45 @@ def test_batches_are_read_in_slices(monkeypatch):
             return rows.slice(at, n)
 
     assert list(sequence.in_slices(Column())) == real(rows) and max(sizes) <= 256
+
+
+TOKENS = "doc_id long, sentence int, pos int, begin int, end int, result string"
+
+
+def _tokens(spark, texts):
+    rows = [(d, 0, i, 10 * i, 10 * i + 4, x) for d, text in enumerate(texts) for i, x in enumerate(text.split())]
+    return segment.by_document(spark.createDataFrame(rows, TOKENS), "doc_id")
+
+
+def test_pairs_are_counted_as_numbers(spark, monkeypatch):
+    toks = _tokens(spark, ["a b , c a rare d", "b a c . b , , , a", "d d D a b c"])
+    words = factorise.numbered_words(toks, min_count=2)
+    assert {r["token"] for r in words.collect()} == {"a", "b", "c", "d"}
+    small = factorise.cooccurrence(toks, "doc_id", 4, 2)
+    for cap in (None, 2):  # all words broadcast, then only the two commonest
+        if cap:
+            monkeypatch.setattr(joins, "_fits", lambda df, rows, size: (False, cap))
+        pairs = factorise.cooccurrence(toks, "doc_id", 4, 2, words=words)
+        assert dict(pairs.dtypes) == {"token": "bigint", "context": "bigint", "n": "bigint"}
+        got = {(r["token"], r["context"]): r["n"] for r in factorise.with_words(pairs, words).collect()}
+        assert got == {(r["token"], r["context"]): r["n"] for r in small.collect()}
+        # commas and rare words keep their places: 2 + 3 + 1 times a and b are at most four apart
+        assert got[("a", "b")] == got[("b", "a")] == 6 and got[("d", "d")] == 6
+    # the vectors too are the same by number and by name
+    by_name = factorise.factorise(factorise.ppmi(small), dim=2, oversample=1)
+    by_number = factorise.factorise(factorise.ppmi(pairs), dim=2, oversample=1, words=words)
+    a, b = ({r["token"]: r["vector"] for r in x.collect()} for x in (by_name, by_number))
+    assert a.keys() == b.keys()
+    for x in a:
+        assert all(abs(abs(p) - abs(q)) < 1e-4 for p, q in zip(a[x], b[x]))
+
+
+def test_only_rare_lookup_rows_are_repeated(spark, monkeypatch):
+    monkeypatch.setattr(joins, "_fits", lambda df, rows, size: (False, 2))
+    big = spark.createDataFrame([(i, k) for i in range(30) for k in "aab"], "id long, k string")
+    look = spark.createDataFrame([("a", 9), ("b", 1), ("n", None)], "key string, n int")
+    moved = []
+    real = joins._salted
+    monkeypatch.setattr(joins, "_salted", lambda b, lookup, *x: moved.append(lookup) or real(b, lookup, *x))
+    assert joins.lookup_join(big, look, "k", "key", "inner", salt_by=["id"], weight=F.col("n")).count() == 90
+    assert {r["key"] for r in moved[0].collect()} == {"b", "n"}
