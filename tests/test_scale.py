@@ -109,3 +109,14 @@ def test_only_rare_lookup_rows_are_repeated(spark, monkeypatch):
     monkeypatch.setattr(joins, "_salted", lambda b, lookup, *x: moved.append(lookup) or real(b, lookup, *x))
     assert joins.lookup_join(big, look, "k", "key", "inner", salt_by=["id"], weight=F.col("n")).count() == 90
     assert {r["key"] for r in moved[0].collect()} == {"b", "n"}
+
+
+def test_relative_chunks_tag_the_tokens_once(spark):
+    toks = spark.createDataFrame([
+        (1, 0, 0, 2, 3, "x", "O"), (1, 0, 1, 5, 6, "y", "B-A"), (1, 0, 2, 8, 9, "z", "I-A"),
+        (1, 1, 0, 12, 13, "v", "B-A"), (2, 0, 0, 1, 1, "w", "B-B"), (3, 0, 0, 0, 1, "o", "O")], TOKENS + ", tag string")
+    docs = segment.by_document(spark.createDataFrame([(i, "0123456789abcdefgh") for i in (1, 2, 3)], "doc_id long, text string"), "doc_id")
+    out = entities.entity_chunks(segment.by_document(toks, "doc_id"), docs, "doc_id", "text", preserve_position=False)
+    assert sorted((r["doc_id"], r["begin"], r["end"], r["result"]) for r in out.collect()) == [
+        (1, 0, 1, "cd"), (1, 3, 7, "56789"), (2, 0, 0, "1")]
+    assert plan(out).split("Initial Plan")[0].count("Scan ExistingRDD") == 2  # tokens and documents, once each
