@@ -120,3 +120,9 @@ def test_relative_chunks_tag_the_tokens_once(spark):
     assert sorted((r["doc_id"], r["begin"], r["end"], r["result"]) for r in out.collect()) == [
         (1, 0, 1, "cd"), (1, 3, 7, "56789"), (2, 0, 0, "1")]
     assert plan(out).split("Initial Plan")[0].count("Scan ExistingRDD") == 2  # tokens and documents, once each
+
+
+def test_keywords_sort_tokens_once_before_the_terms(spark):
+    out = keywords.keywords(_tokens(spark, ["A b c d a b"]), "doc_id", 1, 3, None, None)
+    # by sentence, by term, and back by sentence
+    assert plan(out.select("doc_id", "keyword")).split("Initial Plan")[0].count("Sort [") == 3
