@@ -2,13 +2,17 @@
 from __future__ import annotations
 
 import os
+import random
 import tempfile
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docweave.functions import joins
-from docweave.operators import entities, factorise, keywords, segment, sequence, vectors
+from docweave.operators import context_tags, entities, factorise, keywords, segment, sequence, tags, vectors
+from docweave.plans import jobs, q_models
 from docweave.sources import files
 
 
@@ -126,3 +130,44 @@ def test_keywords_sort_tokens_once_before_the_terms(spark):
     out = keywords.keywords(_tokens(spark, ["A b c d a b"]), "doc_id", 1, 3, None, None)
     # by sentence, by term, and back by sentence
     assert plan(out.select("doc_id", "keyword")).split("Initial Plan")[0].count("Sort [") == 3
+
+
+def _plain_buckets(words, extra, buckets):
+    low, forms = [w.lower() for w in words], [sequence.shape(w) for w in words]
+    at = lambda xs, i, other: xs[i] if 0 <= i < len(xs) else other
+    return [[zlib.crc32(f.encode()) % buckets for f in (
+        f"w={low[i]}", f"s={low[i][-3:]}", f"h={forms[i]}", f"p={at(low, i - 1, '<s>')}", f"n={at(low, i + 1, '</s>')}",
+        f"ph={at(forms, i - 1, '<s>')}|{forms[i]}", f"hn={forms[i]}|{at(forms, i + 1, '<s>')}", "b",
+        *(f"{k}={values[i]}" for k, values in enumerate(extra)))] for i in range(len(words))]
+
+
+def test_sentences_are_tagged_as_flat_rows(spark):
+    rng = random.Random(5)
+    sents = [[rng.choice(["Aa", "b", "ÉÉ", "7x", ".", "ab12", "B"]) for _ in range(rng.choice([1, 2, 3, 9, 40]))] for _ in range(30)]
+    extra = [[rng.choice(["p", "q", None]) for _ in x] for x in sents]
+    starts = np.cumsum([0] + [len(x) for x in sents])[:-1]
+    flat = sequence.feature_buckets(pa.array(sum(sents, [])), starts, [pa.array(sum(extra, []), pa.string())], 1 << 10)
+    assert flat.tolist() == sum((_plain_buckets(x, [e], 1 << 10) for x, e in zip(sents, extra)), [])
+    r = np.random.default_rng(1)
+    scores, t = r.integers(-2, 3, (len(flat), 4)).astype(float), r.integers(-2, 3, (5, 4)).astype(float)
+    want = [sequence.viterbi(scores[a:a + len(x)], t) for a, x in zip(starts, sents)]  # with many ties
+    assert sequence.viterbi_all(scores, starts, t).tolist() == np.concatenate(want).tolist()
+    # sentences longer than a batch, and batches that end inside sentences
+    model = sequence.ChainModel(("A", "B", "C"), r.integers(-2, 3, (1 << 10, 3)).astype(float), np.zeros((0, 3)),
+                                r.integers(-2, 3, (4, 3)).astype(float))
+    rows = [(d % 7, d, i, 0, 0, w) for d, x in enumerate(sents) for i, w in enumerate(x)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, TOKENS)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in ("4", before):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            out = sequence.tag_chain(df, model, "doc_id")
+            assert "collect_list" not in plan(out)
+            got = {(x["sentence"], x["pos"]): x["tag"] for x in out.collect()}
+            for d, x in enumerate(sents):
+                e = model.emission[np.array(_plain_buckets(x, [], 1 << 10))].sum(axis=1)
+                path = sequence.viterbi(e, model.transition)
+                assert [got[d, i] for i in range(len(x))] == [model.labels[j] for j in path]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
