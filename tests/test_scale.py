@@ -171,3 +171,37 @@ def test_sentences_are_tagged_as_flat_rows(spark):
                 assert [got[d, i] for i in range(len(x))] == [model.labels[j] for j in path]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_context_tags_read_flat_rows_and_null_tags(spark):
+    rows = [(d, 0, i, 0, 0, w, t) for d, s in enumerate([
+        [("a", "X"), ("b", None)], [("a", "X"), ("b", None)], [("c", "Y"), ("b", "Z")], [("q\"ü", "Y")]]) for i, (w, t) in enumerate(s)]
+    df = spark.createDataFrame(rows, TOKENS + ", lang string")
+    model = context_tags.fit_context_tags(df, "doc_id", "result", "lang")
+    out = context_tags.tag_in_context(df, model, "doc_id")
+    assert "struct(pos" not in plan(out)  # no array of a sentence's tokens
+    got = {(r["doc_id"], r["pos"]): r["tag"] for r in out.collect()}
+    # behind X the tag of "b" is null, so is its suffix's: the tag behind X, or the commonest
+    after = model.by_previous.get("X", model.default)
+    assert got == {(0, 0): "X", (0, 1): after, (1, 0): "X", (1, 1): after, (2, 0): "Y", (2, 1): got[2, 1], (3, 0): "Y"}
+
+
+def test_the_tagger_learns_from_whole_chosen_sentences(spark):
+    df = spark.createDataFrame([(d, s, i, 0, 0, "w") for d in range(40) for s in range(5) for i in range(3)], TOKENS)
+    assert sequence.training_sentences(df, "doc_id", 200).count() == 600
+    some = sequence.training_sentences(df, "doc_id", 60)
+    sizes = [r["count"] for r in some.groupBy("doc_id", "sentence").count().collect()]
+    assert 20 < len(sizes) < 120 and set(sizes) == {3}
+
+
+def test_tagged_tokens_and_features_are_made_once(spark):
+    toks = _tokens(spark, ["A b", "b c d"])
+    labelled = toks.withColumn("lang", F.lit("en"))
+    p = jobs.BodyParams(pos_model=context_tags.fit_context_tags(labelled, "doc_id", "result", "lang"))
+    kept = jobs.featured_tokens(toks, "doc_id", p, keep=True)
+    assert "InArrow" not in plan(kept) and "Scan parquet" in plan(kept)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, jobs.featured_tokens(toks, "doc_id", p).collect()))
+    model = tags.fit_tags(labelled, "result", "lang")
+    voc = spark.createDataFrame([("b", [1.0] * 64)], "token string, vector array<float>")
+    made = tags.token_features(q_models._featured(spark, None, toks, model, voc), "doc_id")
+    assert "Window" not in plan(made) and made.count() == 5 and tags.FEATURES <= set(made.columns)
