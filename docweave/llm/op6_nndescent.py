@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.common import Scratch, shuffle_partitions
+from docweave.llm.common import Scratch, chunk_count, shuffle_partitions
 
 K = 20
 #: Reverse neighbours of a node that take part in a round, nearest first.
@@ -44,6 +44,8 @@ BEAM, STEPS = 48, 12
 SEED = 31
 #: Numbers that the nodes of one cell of the exact check hold; rows measured at once.
 CELL, STRIP = 1 << 20, 256
+#: A task gets at least the edges of so many nodes, or what is seen of so many queries.
+NODES, QUERIES = 1024, 16
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -148,23 +150,27 @@ def build_graph(nodes: DataFrame, scratch: Scratch, dim: int) -> DataFrame:
     """a, b, d (squared distance): the K nearest found of every node."""
     parts = shuffle_partitions(nodes.sparkSession)
     n = nodes.count()
+    tasks = chunk_count(n, NODES)
     # blocks end at range partitions, so few nodes are one range
     lines = max(1, min(parts, n // (8 * BLOCK)))
-    graph = scratch.save(first_graph(nodes, dim, lines, parts), "graph0")
+    graph = scratch.save(first_graph(nodes, dim, lines, parts).coalesce(tasks), "graph0")
     for r in range(ROUNDS):
-        # members around a node: its neighbours and the nearest that list it
-        back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "d", "new")
-        rank = F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))
-        back = back.withColumn("rank", rank).filter(F.col("rank") <= REVERSE)
-        around = graph.unionByName(back).groupBy("a", "b").agg(F.max("new").alias("new"))
-        worst = graph.groupBy("a").agg(F.max("d").alias("w"), F.count(F.lit(1)).alias("n"))
-        info = nodes.join(worst, F.col("id") == F.col("a"), "left").select(
-            F.col("id").alias("b"), "v", F.when(F.col("n") >= K, F.col("w")).otherwise(float("inf")).alias("worst"))
+        # members around a node: its neighbours and the nearest that list it; dealt by
+        # node once, so neither the ranks nor the distinct members shuffle again
+        back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "d", "new", F.lit(True).alias("back"))
+        both = graph.select("a", "b", "d", "new", F.lit(False).alias("back")).unionByName(back).repartition(parts, "a")
+        rank = F.row_number().over(Window.partitionBy("a", "back").orderBy("d", "b"))
+        around = both.withColumn("rank", rank).filter(~F.col("back") | (F.col("rank") <= REVERSE)) \
+            .groupBy("a", "b").agg(F.max("new").alias("new"))
+        # a full list ends with its K-th edge
+        worst = graph.filter(F.col("rank") == K).select(F.col("a").alias("full"), F.col("d").alias("w"))
+        info = nodes.join(worst, F.col("id") == F.col("full"), "left").select(
+            F.col("id").alias("b"), "v", F.coalesce("w", F.lit(float("inf"))).alias("worst"))
         members = around.join(info, "b").groupBy("a").agg(
             F.collect_list(F.struct("b", "worst", "new", "v")).alias("members"))
-        found = members.select("members").mapInArrow(_compare_around, EDGE).withColumn("new", F.lit(True))
+        found = members.select("members").coalesce(tasks).mapInArrow(_compare_around, EDGE).withColumn("new", F.lit(True))
         old = graph.select("a", "b", "d", F.lit(False).alias("new"))
-        graph = scratch.save(_closest(old.unionByName(found), K, parts), f"graph{r + 1}")
+        graph = scratch.save(_closest(old.unionByName(found), K, parts).coalesce(tasks), f"graph{r + 1}")
         scratch.drop(f"graph{r}")
         if graph.filter("new").count() <= SETTLED * K * n:
             break
@@ -182,20 +188,25 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, scratch: Scra
     edges = scratch.save(edges, "edges")
     vectors = nodes.select(F.col("id").alias("node"), "v")
     asked = queries.select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    # every vertex seen holds its rank, so a step deals the rows by query once: what is new
+    # among them has no score yet
+    parts, tasks = shuffle_partitions(nodes.sparkSession), chunk_count(queries.count(), QUERIES)
+    by_score = Window.partitionBy("q").orderBy("score", "node")
     seen = queries.select(F.col("id").alias("q"), F.col("id").alias("node"), F.lit(0.0).alias("score"),
-                          F.lit(False).alias("done"))
+                          F.lit(False).alias("done"), F.lit(1).alias("rank"))
     for step in range(STEPS):
-        rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "node"))
-        ranked = seen.withColumn("rank", rank)
-        front = ranked.filter((F.col("rank") <= BEAM) & ~F.col("done"))
+        front = seen.filter((F.col("rank") <= BEAM) & ~F.col("done"))
         if step and front.isEmpty():
             break
-        reached = front.select("q", F.col("node").alias("a")).join(edges, "a").select("q", F.col("b").alias("node")) \
-            .distinct().join(seen.select("q", "node"), ["q", "node"], "left_anti")
-        measured = reached.join(vectors, "node").join(asked, "q").select(
-            "q", "node", _distance(F.col("qv"), F.col("v")).alias("score"), F.lit(False).alias("done"))
-        kept = ranked.select("q", "node", "score", (F.col("done") | (F.col("rank") <= BEAM)).alias("done"))
-        seen = scratch.save(kept.unionByName(measured), f"seen{step}")
+        reached = front.select("q", F.col("node").alias("a")).join(edges, "a").select(
+            "q", F.col("b").alias("node"), F.lit(None).cast("double").alias("score"), F.lit(False).alias("done"))
+        kept = seen.select("q", "node", "score", (F.col("done") | (F.col("rank") <= BEAM)).alias("done"))
+        met = kept.unionByName(reached).repartition(parts, "q").groupBy("q", "node").agg(
+            F.max("score").alias("score"), F.max("done").alias("done"))
+        measured = met.join(vectors, "node").join(asked, "q").select("q", "node", F.coalesce(
+            "score", _distance(F.col("qv"), F.col("v"))).alias("score"), "done")
+        ranked = measured.withColumn("rank", F.row_number().over(by_score))
+        seen = scratch.save(ranked.coalesce(tasks), f"seen{step}")
         if step:
             scratch.drop(f"seen{step - 1}")
     return seen.select("q", "node", "score")
@@ -261,7 +272,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, id_col: str = "vec_
     if first is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"),
                            F.lit(0.0).alias("score"))
-    graph = scratch.save(build_graph(nodes, scratch, len(first["v"])), "graph")
+    graph = build_graph(nodes, scratch, len(first["v"]))
     queries = members.filter(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("q"))
     starts = queries.select(F.col("q").alias("id")).distinct().join(nodes, "id")
     found = search(graph, nodes, starts, scratch)

@@ -180,3 +180,30 @@ def test_queries_are_registered():
     names = E.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
+
+
+def test_few_neighbours_take_few_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], 0, 0) for i in range(300)]
+    files, save = {}, op6_nndescent.Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        files[name] = len(out.inputFiles())
+        return out
+    monkeypatch.setattr(op6_nndescent.Scratch, "save", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = op6_nndescent.nearest_neighbours(vectors(spark, rows), F.col("id") % 50 == 0).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {n for name, n in files.items() if name.startswith(("graph", "seen"))} == {1}  # no task of a few rows
+    x = np.array([v for _, v, *_ in rows])
+    x = x.astype(np.float32).astype(float)
+    for q in range(0, 300, 50):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = [i for i in np.lexsort((np.arange(300), d)) if i != q][:10]
+        assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == q] == want
