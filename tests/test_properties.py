@@ -143,3 +143,16 @@ def test_keyword_window_general_path_matches_fast_path(spark):
     assert sorted(map(key, fast.collect())) == sorted(map(key, general.collect()))
     wide = keywords.keywords(toks, "doc_id", 1, 3, 10, None, window=3)
     assert wide.count() > 0 and wide.filter(F.col("score") <= 0).count() == 0
+
+
+def test_blanks_are_trimmed_without_a_search(spark):
+    texts = [" \t\x0b\f a  b.  \r\n  c ", "d \u0085", "\n \t ", "", "f\x1c \x1c\n\n", "\u2003g \u2003"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sents = segment.split_sentences(docs, "doc_id", "text")
+    tokens = segment.tokenize_sentences(sents, "doc_id")
+    assert r", ^\s+, " not in tokens._jdf.queryExecution().optimizedPlan().toString()  # no search per token
+    got = [(r["doc_id"], r["begin"], r["end"], r["result"]) for r in sents.orderBy("doc_id", "sentence").collect()]
+    # the pattern's end of a text may lie before a last line end, as in the second
+    assert got == [(0, 5, 9, "a  b."), (0, 16, 16, "c"), (1, 0, 1, "d\u0085"), (4, 0, 3, "f\x1c \x1c"), (5, 0, 3, "\u2003g \u2003")]
+    found = [(r["doc_id"], r["begin"], r["result"]) for r in tokens.orderBy("doc_id", "begin").collect()]
+    assert found[:4] == [(0, 5, "a"), (0, 8, "b"), (0, 9, "."), (0, 16, "c")]
